@@ -4,46 +4,50 @@ from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.functions.vectors import norm
 from faultline.operators import vector_search as vs
+from faultline.session import run_dir
 
 
-def _direction(vec: Column, metric: str) -> Column:
-    """Cosine looks at directions only, so cells are made of vectors of length one."""
-    if metric != "COSINE":
-        return vec
-    length = norm(vec)
-    return F.when(length > 0, F.transform(vec, lambda x: (x / length).cast("float")))
+def _geometry(metric: str) -> tuple[str, str]:
+    """(distance of the clustering, metric that ranks cells): cosine sees directions only."""
+    return ("cosine", "COSINE") if metric == "COSINE" else ("euclidean", "L2")
 
 
 def build_cells(corpus: DataFrame, vec: str, cells: int, metric: str = "COSINE", seed: int = 7,
-                iterations: int = 20) -> tuple[DataFrame, DataFrame]:
-    """(corpus + ``cell``, centroids(cell, centroid)). Fitted on all rows; rows without a usable
-    vector belong to no cell. The centroids are ``cells`` rows, a parameter."""
-    pointed = corpus.withColumn("__at", _direction(F.col(vec), metric)).where(F.col("__at").isNotNull())
-    pointed = pointed.withColumn("__features", array_to_vector("__at"))
-    model = KMeans(k=cells, seed=seed, maxIter=iterations, featuresCol="__features", predictionCol="cell").fit(pointed)
-    placed = model.transform(pointed).drop("__at", "__features")
+                iterations: int = 10, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(corpus + ``cell``, centroids(cell, centroid)), fitted on all rows.
+
+    The corpus is written partitioned by cell, to ``path`` or the shared folder, and read back: an
+    index is built once and its readers prune to the cells they need. Rows without a vector, or with
+    a zero vector under cosine, are in no cell. The centroids are ``cells`` rows, a parameter.
+    """
+    distance, _ = _geometry(metric)
+    usable = F.exists(vec, lambda x: x != 0) if metric == "COSINE" else F.col(vec).isNotNull()
+    featured = corpus.where(usable).withColumn("__features", array_to_vector(vec))
+    model = KMeans(k=cells, seed=seed, maxIter=iterations, distanceMeasure=distance, featuresCol="__features",
+                   predictionCol="cell").fit(featured.select("__features"))
+    path = path or run_dir(corpus.sparkSession, "cells")
+    model.transform(featured).drop("__features").write.mode("overwrite").partitionBy("cell").parquet(path)
     rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     centroids = corpus.sparkSession.createDataFrame(rows, "cell INT, centroid ARRAY<FLOAT>")
-    return placed, centroids
+    return corpus.sparkSession.read.parquet(path), centroids
 
 
 def route(probes: DataFrame, centroids: DataFrame, probe: str, nprobe: int, metric: str = "COSINE") -> DataFrame:
     """``probes`` repeated for each of their ``nprobe`` nearest cells, with column ``cell``."""
-    index = vs.ResidentIndex(centroids, "centroid", "cell", "L2", nprobe)
-    near = probes.withColumn("__near", index.hits(_direction(F.col(probe), metric)))
+    index = vs.ResidentIndex(centroids, "centroid", "cell", _geometry(metric)[1], nprobe)
+    near = probes.withColumn("__near", index.hits(F.col(probe)))
     return near.select(*probes.columns, F.explode(F.col("__near.id")).alias("cell"))
 
 
 def routed_hits(routed: DataFrame, placed: DataFrame, metric: str, k: int, cells: int) -> DataFrame:
-    """Exact re-ranking inside the visited cells; cells of any size are cut into tiles."""
+    """Exact re-ranking inside the visited cells; a cell of any size is cut into tiles."""
     p = routed.select(F.col("cell").alias("grp"), "key", "pv")
     c = placed.select(F.col("cell").alias("grp"), "id", "cv")
-    return vs.best(vs.tiled_hits(p, c, metric, k, group_count=cells), metric, k)
+    return vs.best(vs.tiled_hits(p, c, metric, k, groups=cells), metric, k)
 
 
 def cell_hits(asked: DataFrame, slim: DataFrame, metric: str, k: int, cells: int, nprobe: int) -> DataFrame:
@@ -51,11 +55,6 @@ def cell_hits(asked: DataFrame, slim: DataFrame, metric: str, k: int, cells: int
     return routed_hits(route(asked, centroids, "pv", nprobe, metric), placed, metric, k, cells)
 
 
-def write_cells(placed: DataFrame, path: str) -> None:
-    """Corpus table partitioned by cell, so that a probe's join prunes to the cells it visits."""
-    placed.write.mode("overwrite").partitionBy("cell").parquet(path)
-
-
 def recall(found: DataFrame, exact: DataFrame, key: str, corpus_key: str = "id") -> DataFrame:
     """Share of the exact hits that were found."""
     pairs = [key, corpus_key]

@@ -28,6 +28,14 @@ def to_matrix(vectors: pa.Array) -> np.ndarray:
     return flat.to_numpy(zero_copy_only=False).astype(np.float32, copy=False).reshape(rows, width)
 
 
+def groups(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Equal rows: (first occurrence of each distinct row, number of its group for every row)."""
+    rows = np.ascontiguousarray(rows + np.float32(0))  # -0.0 and 0.0 are one value
+    as_bytes = rows.view(np.dtype((np.void, rows.dtype.itemsize * rows.shape[1]))).ravel()
+    _, first, owner = np.unique(as_bytes, return_index=True, return_inverse=True)
+    return first, owner
+
+
 def pack(ids: np.ndarray, vectors: np.ndarray, metric: str, k: int) -> dict:
     """Corpus side of a tile.
 
@@ -41,9 +49,7 @@ def pack(ids: np.ndarray, vectors: np.ndarray, metric: str, k: int) -> dict:
         usable = np.any(vectors != 0, axis=1)  # a zero vector has no direction, hence no score
         ids, vectors = ids[usable], vectors[usable]
     if len(vectors):
-        rows = np.ascontiguousarray(vectors + np.float32(0))  # -0.0 and 0.0 are one value
-        as_bytes = rows.view(np.dtype((np.void, rows.dtype.itemsize * rows.shape[1]))).ravel()
-        _, first, owner = np.unique(as_bytes, return_index=True, return_inverse=True)
+        first, owner = groups(vectors)
         by_owner = np.argsort(owner, kind="stable")
         starts = np.searchsorted(owner[by_owner], np.arange(len(first)))
         nth = np.arange(len(owner)) - starts[owner[by_owner]]
@@ -58,6 +64,20 @@ def pack(ids: np.ndarray, vectors: np.ndarray, metric: str, k: int) -> dict:
     }
 
 
+def search_distinct(tile: dict, probes: np.ndarray, metric: str, k: int):
+    """``search``, with equal probes searched once and their hits repeated."""
+    if not len(probes) or not probes.shape[1]:
+        return search(tile, probes, metric, k)
+    first, owner = groups(probes)
+    if len(first) == len(probes):
+        return search(tile, probes, metric, k)
+    row, pos, score, rank = search(tile, probes[first], metric, k)
+    starts, ends = np.searchsorted(row, owner), np.searchsorted(row, owner, side="right")
+    counts = ends - starts
+    source = np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+    return np.repeat(np.arange(len(probes)), counts), pos[source], score[source], rank[source]
+
+
 def _exact(p: np.ndarray, c: np.ndarray, pn: np.ndarray, cn: np.ndarray, metric: str) -> np.ndarray:
     p, c = p.astype(np.float64), c.astype(np.float64)
     if metric == "L2":

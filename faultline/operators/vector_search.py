@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,12 +52,12 @@ class ResidentIndex:
     """Corpus vectors of bounded size, shipped to the executors once and reused by every batch."""
 
     def __init__(self, corpus: DataFrame, vec: str, corpus_key: str, metric: str, k: int,
-                 max_bytes: int = RESIDENT_BYTES):
+                 max_bytes: int = RESIDENT_BYTES, size: int | None = None):
         self.metric, self.k = check_metric(metric), k
         self.id_type = corpus.schema[corpus_key].dataType
         slim = corpus.where(F.col(vec).isNotNull()).select(
             F.col(corpus_key).alias("id"), _as_float(vec).alias("vec"))
-        size = measure(slim)
+        size = measure(slim) if size is None else size  # measured already
         if size > max_bytes:
             raise ValueError(f"corpus vectors take {size} bytes, over the bound of {max_bytes}")
         table = slim.toArrow()
@@ -75,7 +75,8 @@ class ResidentIndex:
         def find(probes: pa.Array) -> pa.Array:
             tile = shipped.value
             given = probes.is_valid().to_numpy(zero_copy_only=False)
-            row, pos, score, rank = topk.search(tile, topk.to_matrix(probes.drop_null()), metric, k)
+            row, pos, score, rank = topk.search_distinct(
+                tile, topk.to_matrix(probes.drop_null()), metric, k)
             counts = np.zeros(len(probes), np.int32)
             counts[given] = np.bincount(row, minlength=int(given.sum()))
             offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
@@ -95,34 +96,45 @@ def measure(slim: DataFrame) -> int:
 
 
 def tiled_hits(probes: DataFrame, corpus: DataFrame, metric: str, k: int,
-               group_count: int = 1, tile_bytes: int = TILE_BYTES,
+               groups: int | None = None, tile_bytes: int = TILE_BYTES,
                smallest_tile: int = SMALLEST_TILE) -> DataFrame:
-    """Exact top-k within each group: probes(grp, key, pv) x corpus(grp, id, cv) -> (key, id, score).
+    """Exact top-k: probes(key, pv) x corpus(id, cv) -> (key, id, score), per tile.
 
-    Tiles are cut by a hash of the row's own id, so a group of any size falls into tiles of about
-    equal size. A tile holds at most ``tile_bytes`` of vectors; when there is less work than that,
-    tiles shrink until every core has some. Groups are the cells of an index (``group_count`` of
-    them, a parameter), or one for an exhaustive search.
+    Tiles are cut by a hash of the row's own id, so rows of any origin fall into tiles of about equal
+    size. A tile holds at most ``tile_bytes`` of vectors; when there is less work than that, tiles
+    shrink until every core has some. With ``groups`` both sides carry ``grp``, the cell of an index
+    (that many of them, a parameter), and only rows of one cell meet; each cell is tiled by its own
+    size.
     """
-    spark = probes.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    sizes = probes.groupBy("grp").agg(F.count("*").alias("np")).join(
-        corpus.groupBy("grp").agg(F.count("*").alias("nc"), F.max(F.size("cv")).alias("w")), "grp")
-    most = F.greatest(F.lit(float(smallest_tile)), F.lit(float(tile_bytes)) / (F.col("w") * 4))
-    even = F.sqrt(F.col("np").cast("double") * F.col("nc") * group_count / (4.0 * cores))
-    rows = F.least(most, F.greatest(F.lit(float(smallest_tile)), even))
-    tiles = sizes.select(
-        "grp", F.ceil(F.col("np") / rows).alias("p_tiles"), F.ceil(F.col("nc") / rows).alias("c_tiles"))
-    tiles = F.broadcast(tiles)  # one row per group: bounded by group_count
-
-    p = (probes.join(tiles, "grp")
-         .withColumn("p_tile", F.pmod(F.xxhash64("key"), "p_tiles"))
-         .withColumn("c_tile", F.explode(F.sequence(F.lit(0).cast("long"), F.col("c_tiles") - 1)))
-         .select("grp", "p_tile", "c_tile", "key", "pv"))
-    c = (corpus.join(tiles, "grp")
-         .withColumn("c_tile", F.pmod(F.xxhash64("id"), "c_tiles"))
-         .withColumn("p_tile", F.explode(F.sequence(F.lit(0).cast("long"), F.col("p_tiles") - 1)))
-         .select("grp", "p_tile", "c_tile", "id", "cv"))
+    cores = probes.sparkSession.sparkContext.defaultParallelism
+
+    def tiles(rows: Column, n_probes: Column, n_corpus: Column, width: Column) -> Column:
+        most = F.greatest(F.lit(float(smallest_tile)), F.lit(float(tile_bytes)) / (width * 4))
+        even = F.sqrt(n_probes.cast("double") * n_corpus * (groups or 1) / (4.0 * cores))
+        return F.ceil(rows / F.least(most, F.greatest(F.lit(float(smallest_tile)), even)))
+
+    count, widest = F.count("*"), F.max(F.size("cv"))
+    if groups:
+        sizes = probes.groupBy("grp").agg(count.alias("np")).join(
+            corpus.groupBy("grp").agg(count.alias("nc"), widest.alias("w")), "grp")
+        measures = F.col("np"), F.col("nc"), F.col("w")
+        counts = F.broadcast(sizes.select(  # one row per group: bounded by the parameter
+            "grp", tiles(F.col("np"), *measures).alias("p_tiles"), tiles(F.col("nc"), *measures).alias("c_tiles")))
+        probes, corpus, on = probes.join(counts, "grp"), corpus.join(counts, "grp"), ["grp"]
+    else:
+        n_probes, n_corpus = probes.agg(count).scalar(), corpus.agg(count).scalar()
+        measures = n_probes, n_corpus, corpus.agg(widest).scalar()
+        p_tiles, c_tiles = tiles(n_probes, *measures), tiles(n_corpus, *measures)
+        probes, corpus = [df.withColumn("p_tiles", p_tiles).withColumn("c_tiles", c_tiles) for df in (probes, corpus)]
+        on = []
+
+    def numbers(tile_count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(tile_count) - 1))
+
+    p = probes.withColumn("p_tile", F.pmod(F.xxhash64("key"), "p_tiles")).where("c_tiles > 0").withColumn(
+        "c_tile", numbers("c_tiles")).select(*on, "p_tile", "c_tile", "key", "pv")
+    c = corpus.withColumn("c_tile", F.pmod(F.xxhash64("id"), "c_tiles")).where("p_tiles > 0").withColumn(
+        "p_tile", numbers("p_tiles")).select(*on, "p_tile", "c_tile", "id", "cv")
     out = T.StructType([
         T.StructField("key", probes.schema["key"].dataType),
         T.StructField("id", corpus.schema["id"].dataType),
@@ -136,7 +148,7 @@ def tiled_hits(probes: DataFrame, corpus: DataFrame, metric: str, k: int,
             "id": pa.array(tile["ids"][pos], type=right["id"].type),
             "score": pa.array(score, pa.float64())})
 
-    on = ["grp", "p_tile", "c_tile"]
+    on = [*on, "p_tile", "c_tile"]
     return p.groupBy(*on).cogroup(c.groupBy(*on)).applyInArrow(match, out)
 
 
@@ -179,18 +191,20 @@ def vector_search(probes: DataFrame, corpus: DataFrame, probe: str, vec: str, k:
     probes = probes.withColumn(probe, _as_float(probe))
     slim = corpus.where(F.col(vec).isNotNull()).select(
         F.col(corpus_key).alias("id"), _as_float(vec).alias("cv"))
+    size = None
+    if strategy == "auto" and index is None:
+        size = measure(slim.withColumnRenamed("cv", "vec"))
     if strategy == "auto":
-        small = index is not None or measure(slim.withColumnRenamed("cv", "vec")) <= RESIDENT_BYTES
-        strategy = "resident" if small else "blocked"
+        strategy = "resident" if size is None or size <= RESIDENT_BYTES else "blocked"
     if strategy == "resident" and index is None:
-        index = ResidentIndex(corpus, vec, corpus_key, metric, k)
+        index = ResidentIndex(corpus, vec, corpus_key, metric, k, size=size)
     right = corpus.select(F.col(corpus_key).alias("__id"), *named)
     tail = [prefix + c for c in keep] + ["rank", "score"]
 
     if strategy == "resident" and distinct_by is None:
         found = probes.withColumn("__hits", index.hits(F.col(probe)))
         each = F.inline_outer("__hits") if how == "left" else F.inline("__hits")
-        found = found.select(*probes.columns, each).withColumnRenamed("id", "__id")
+        found = found.select(*probes.columns, each.alias("__id", "rank", "score"))
         found = lookup(found, right, "__id", how)
         return found.select(*probes.columns, *tail)
 
@@ -201,8 +215,8 @@ def vector_search(probes: DataFrame, corpus: DataFrame, probe: str, vec: str, k:
     if strategy == "resident":
         hits = asked.select("key", F.inline(index.hits(F.col("pv"))))
     elif strategy == "blocked":
-        hits = best(tiled_hits(asked.withColumn("grp", F.lit(0)), slim.withColumn("grp", F.lit(0)),
-                               metric, k, tile_bytes=tile_bytes, smallest_tile=smallest_tile), metric, k)
+        hits = best(tiled_hits(asked, slim, metric, k, tile_bytes=tile_bytes, smallest_tile=smallest_tile),
+                    metric, k)
     elif strategy == "cells":
         from faultline.operators.cells import cell_hits
         hits = cell_hits(asked, slim, metric, k, cells, nprobe)

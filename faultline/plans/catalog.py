@@ -373,10 +373,9 @@ def vs_ann_index(spark, sf):
 def vs_ann_recall(spark, sf):
     """Recall@10 by number of visited cells."""
     manual, probes = tables.manual(spark, sf).select("id", "vec"), tables.probes(spark, sf)
-    placed, centroids = cells.build_cells(manual, "vec", 16)
-    placed = placed.select("cell", "id", F.col("vec").alias("cv"))
+    placed, centroids = cells.build_cells(manual.withColumnRenamed("vec", "cv"), "cv", 16)
     asked = probes.select(F.col("probe_id").alias("key"), F.col("alarm_vector").alias("pv"))
-    exact = cells.routed_hits(cells.route(asked, centroids, "pv", 16), placed, "COSINE", 10, 16)
+    exact = materialize(cells.routed_hits(cells.route(asked, centroids, "pv", 16), placed, "COSINE", 10, 16), "exact")
     rows = []
     for visited in (1, 4, 16):
         found = cells.routed_hits(cells.route(asked, centroids, "pv", visited), placed, "COSINE", 10, 16)
