@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from faultline.operators.joins import lookup
 
 BINS = 4096
 
+# ---- fixed values: section expected for each fault code; None where the manual covers nothing ----
+EXPECTED_SECTIONS = {
+    "VIB-HIGH": "SM-4.3", "HYD-LOW": "SM-5.1", "E-217": "SM-6.2", "ENC-LOSS": "SM-6.5", "COOL-HOT": "SM-7.1",
+    "CHILL-CYC": "SM-7.4", "GUARD-OPEN": "SM-8.1", "AIR-WET": "SM-10.1", "TOOL-MISS": "SM-9.2",
+    "BELT-TRACK": "SM-9.6", "CRANE-PENDANT": None, "FIRE-DOOR": None, "EXTRACT-FAN": None,
+    "SCANNER-DROP": None, "RAIL-DAMAGE": None,
+}
+
+
+def ground_truth(spark: SparkSession, expected: dict[str, str | None] | None = None) -> DataFrame:
+    """Mapping table (fault_code, expected) for ``audit``."""
+    pairs = list((EXPECTED_SECTIONS if expected is None else expected).items())
+    return spark.createDataFrame(pairs, "fault_code STRING, expected STRING")
+
 
 def audit(orders: DataFrame, mapping: DataFrame) -> DataFrame:
     """Verdict per order.

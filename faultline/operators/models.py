@@ -112,6 +112,18 @@ def ml_predict(df: DataFrame, model: ModelSpec, col: str, out: str | None = None
     return done
 
 
+# Instruction for a planning model. The six field names and the guard text are fixed values: the parsed
+# reply and the status log depend on them.
+PLANNER_INSTRUCTION = (
+    "You plan maintenance work. The user message holds one machine alarm with its readings and one section of the "
+    "manual. Answer with one JSON object and nothing around it, with the fields diagnosis (string, one sentence), "
+    "action (string, in the words of the manual), parts (array of the part numbers the section names), safety "
+    "(string, any warning of the section, else none), estimated_minutes (integer) and line_stop_likely (boolean). "
+    f"Rely on the section alone. When it does not fit the alarm, the diagnosis is \"{GUARD}\", parts is empty and no "
+    "part number is invented."
+)
+
+
 # ---- providers -------------------------------------------------------------------------------
 
 def precomputed(df: DataFrame, vectors: DataFrame, key: str) -> DataFrame:

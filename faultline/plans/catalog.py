@@ -183,7 +183,13 @@ def validate_dim(spark, sf):
 
 @query
 def corpus_uniqueness(spark, sf):
-    return corpus.uniqueness(tables.manual(spark, sf))
+    """Documents as a corpus that breaks every rule: a reference per text, a title per language and
+    length, and a part number per length appended to the text."""
+    chars = F.col("n_chars").cast("string")
+    docs = tables.read(spark, sf, "documents").select(
+        F.col("doc_id").alias("id"), F.concat("text", F.lit(" MK-"), chars).alias("content"),
+        F.concat("lang", F.lit("-"), chars).alias("section"), F.md5("text").alias("doc_ref"))
+    return corpus.uniqueness(docs)
 
 
 @query
@@ -359,8 +365,8 @@ def vs_topk_gt_1(spark, sf):
 
 @query
 def vs_blocked(spark, sf):
-    """The tiled search, tiles small enough that probes and corpus both take several."""
-    return probe_search(spark, sf, k=5, strategy="blocked", tile_bytes=64 * 4 * 300, smallest_tile=300)
+    """The tiled search; tiles stay small enough that probes and corpus take several even here."""
+    return probe_search(spark, sf, k=5, strategy="blocked", smallest_tile=256)
 
 
 @query
@@ -653,7 +659,7 @@ def sum_latency(spark, sf):
 # ---- audit ------------------------------------------------------------------------------------
 
 def audited(spark, sf) -> DataFrame:
-    return audits.audit(orders_of(spark, sf), tables.mapping(spark))
+    return audits.audit(orders_of(spark, sf), audits.ground_truth(spark, tables.EXPECTED))
 
 
 @query
@@ -671,7 +677,7 @@ def audit_summary(spark, sf):
 
 @query
 def audit_exhaustive(spark, sf):
-    ranges = audits.score_ranges(audits.audit(retrieve.context(spark, sf), tables.mapping(spark)))
+    ranges = audits.score_ranges(audits.audit(retrieve.context(spark, sf), audits.ground_truth(spark, tables.EXPECTED)))
     return ranges.select("covered", "alarms", "correct",
                          *[F.round(F.col(c).cast("double"), 6).alias(c) for c in ("min_score", "max_score")])
 

@@ -211,11 +211,13 @@ add("validate_dim", """
 SELECT CAST(min(len(embedding)) AS INTEGER) AS min_dim, CAST(max(len(embedding)) AS INTEGER) AS max_dim,
   count(embedding) AS vectors FROM embeddings""")
 add("corpus_uniqueness", """
-SELECT 'doc_ref' AS what, doc_ref AS value, count(*) AS n FROM manual GROUP BY doc_ref HAVING count(*) > 1
-UNION ALL SELECT 'section', section, count(*) FROM manual GROUP BY section HAVING count(*) > 1
+SELECT 'doc_ref' AS what, md5(text) AS value, count(*) AS n FROM documents GROUP BY text HAVING count(*) > 1
+UNION ALL SELECT 'section', lang || '-' || CAST(n_chars AS VARCHAR), count(*) FROM documents
+  GROUP BY lang, n_chars HAVING count(*) > 1
 UNION ALL SELECT 'part', part, count(*) FROM (
-  SELECT DISTINCT id, unnest(regexp_extract_all(content, '[A-Z]{2}-[0-9]+')) AS part FROM manual)
-GROUP BY part HAVING count(*) > 1""", [manual()])
+  SELECT DISTINCT doc_id, unnest(regexp_extract_all(
+    text || ' MK-' || CAST(n_chars AS VARCHAR), '[A-Z]{2}-[0-9]+')) AS part FROM documents)
+GROUP BY part HAVING count(*) > 1""")
 add("corpus_copies", "SELECT md5(text) AS value, count(*) AS n FROM documents GROUP BY text HAVING count(*) > 1")
 add("corpus_exclusions", """
 SELECT p_partkey, component, mode FROM parts p WHERE NOT contains(component, 'gizmo') AND NOT EXISTS (

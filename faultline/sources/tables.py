@@ -98,11 +98,6 @@ def context_clock(df: DataFrame) -> DataFrame:
     return df.withColumn("t_context", plus_millis(F.col("alarm_time"), 300 + F.col("alarm_id").cast("long") % 700))
 
 
-def mapping(spark: SparkSession) -> DataFrame:
-    """Ground truth: a fault code the corpus does not cover has a NULL reference."""
-    return spark.createDataFrame(list(EXPECTED.items()), "fault_code STRING, expected STRING")
-
-
 def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Human actions from the click events; neighbouring events act on one incident."""
     e = F.col("event_id")

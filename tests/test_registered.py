@@ -27,7 +27,7 @@ def con(sf):
 def test_equals_sql(spark, sf, con, name):
     verdict, rows, _, detail = compare.compare(spark, con, sf, name, entry.queries()[name], entry.oracle_sql().get(name))
     assert verdict in ("equal", "rows only"), detail
-    assert rows > 0 or name == "corpus_uniqueness" or name == "incident_lookup"
+    assert rows > 0 or name == "incident_lookup"
 
 
 def test_every_oracle_belongs_to_a_query():

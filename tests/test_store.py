@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from faultline.functions import text, triage
 from faultline.operators import store
-from faultline.operators.audit import audit, audit_summary, calibrate
+from faultline.operators.audit import audit, audit_summary, calibrate, ground_truth
 from faultline.operators.timeline import timelines
 from faultline.plans.views import view_counts, worklist
 from faultline.schemas import ACTION, CONTEXT, STATUS, WORK_ORDER
@@ -156,6 +156,11 @@ def test_calibration_equals_trying_every_cut(spark):
     assert (best.caught, best.flagged) == (caught, -flagged) and best.cut == pytest.approx(-cut, abs=1e-6)
 
 
+def test_ground_truth_of_the_manual(spark):
+    judged = audit(orders(spark, ("VIB-HIGH", "SM-4.3", "high", 0.6), ("FIRE-DOOR", "SM-1.1", "low", 0.4)), ground_truth(spark))
+    assert judged.where("correct").count() == 2 and ground_truth(spark).where("expected is null").count() == 5
+
+
 def test_prompt_with_a_missing_part_is_null(spark):
     df = rows(spark, CONTEXT, dict(alarm_id="a", asset_id="x")).withColumn("section", F.lit("s")).withColumn(
         "content", F.lit("c"))
