@@ -577,7 +577,11 @@ def inspect_triage(spark, sf):
 
 @query
 def dash_last_hour(spark, sf):
-    return metrics.last_hour(incident_of(spark, sf), moment(AS_OF))
+    ctx, act = families(stage_one(spark, sf))
+    _, hum = human(spark, sf)
+    recent = store.incidents_between(
+        ctx, act, hum, "created_at", moment(AS_OF) - F.expr("INTERVAL 1 HOUR"), moment(AS_OF))
+    return metrics.last_hour(recent, moment(AS_OF))
 
 
 @query

@@ -165,3 +165,15 @@ def test_prompt_with_a_missing_part_is_null(spark):
     df = rows(spark, CONTEXT, dict(alarm_id="a", asset_id="x")).withColumn("section", F.lit("s")).withColumn(
         "content", F.lit("c"))
     assert df.select(text.planner_input().alias("p")).first().p is None
+
+
+def test_range_before_the_merge_equals_range_after_it(spark):
+    ctx = rows(spark, CONTEXT, *[dict(alarm_id=str(i), t_alarm=T0, t_context=at(i)) for i in range(50)],
+               *[dict(alarm_id=str(i), t_alarm=T0, t_context=at(i + 25)) for i in range(20)])
+    act = store.action_family(rows(spark, WORK_ORDER, *[dict(alarm_id=str(i), t_action=at(2 * i)) for i in range(0, 50, 2)]))
+    ctx = store.context_family(ctx, F.col("t_context"))
+    since, until = [F.lit(at(s)).cast("timestamp_ntz") for s in (10, 30)]
+    for column in ("created_at", "t_action"):
+        got = store.incidents_between(ctx, act, None, column, since, until)
+        want = store.merge_incidents(ctx, act).where((F.col(column) > since) & (F.col(column) <= until))
+        assert want.count() > 0 and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
