@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = (SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4")
+    session = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "4")
                .config("spark.ui.enabled", "false").config("spark.driver.memory", "4g")
                .config("spark.ui.showConsoleProgress", "false").getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
