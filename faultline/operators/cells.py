@@ -30,10 +30,11 @@ def build_cells(corpus: DataFrame, vec: str, cells: int, metric: str = "COSINE",
     model = KMeans(k=cells, seed=seed, maxIter=iterations, distanceMeasure=distance, featuresCol="__features",
                    predictionCol="cell").fit(featured.select("__features"))
     path = path or run_dir(corpus.sparkSession, "cells")
-    model.transform(featured).drop("__features").write.mode("overwrite").partitionBy("cell").parquet(path)
+    placed = model.transform(featured).drop("__features")
+    placed.write.mode("overwrite").partitionBy("cell").parquet(path)
     rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     centroids = corpus.sparkSession.createDataFrame(rows, "cell INT, centroid ARRAY<FLOAT>")
-    return corpus.sparkSession.read.parquet(path), centroids
+    return corpus.sparkSession.read.schema(placed.schema).parquet(path), centroids
 
 
 def route(probes: DataFrame, centroids: DataFrame, probe: str, nprobe: int, metric: str = "COSINE") -> DataFrame:

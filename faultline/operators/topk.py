@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 
 CELLS_AT_ONCE = 4_000_000  # entries of one score matrix held in memory
+GROUP = 64  # columns of a score matrix that are first looked at through their maximum
 
 
 def to_matrix(vectors: pa.Array) -> np.ndarray:
@@ -45,8 +46,10 @@ def pack(ids: np.ndarray, vectors: np.ndarray, metric: str, k: int) -> dict:
     """
     order = np.argsort(ids, kind="stable")
     ids, vectors = ids[order], vectors[order]
-    if metric == "COSINE" and len(vectors):
-        usable = np.any(vectors != 0, axis=1)  # a zero vector has no direction, hence no score
+    if len(vectors):
+        usable = np.isfinite(vectors).all(axis=1)
+        if metric == "COSINE":
+            usable &= np.any(vectors != 0, axis=1)  # a zero vector has no direction, hence no score
         ids, vectors = ids[usable], vectors[usable]
     if len(vectors):
         first, owner = groups(vectors)
@@ -101,6 +104,28 @@ def search(tile: dict, probes: np.ndarray, metric: str, k: int):
     return tuple(np.concatenate(part) for part in zip(*found))
 
 
+def _candidates(close: np.ndarray, slack: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of every entry within ``2 * slack`` of its row's k-th largest, or larger.
+
+    The k-th largest of the maxima of column groups is no larger than the k-th largest entry, so
+    whatever is below it less the slack can be left out, and only the groups that reach it are read
+    again.
+    """
+    rows, total = close.shape
+    groups = total // GROUP
+    if groups < 2 * k:
+        kth = np.partition(close, total - k, axis=1)[:, total - k] - 2 * slack
+        return np.nonzero(close >= kth[:, None])
+    body, rest = close[:, :groups * GROUP].reshape(rows, GROUP, groups), close[:, groups * GROUP:]
+    tops = body.max(axis=1)
+    kth = np.partition(tops, groups - k, axis=1)[:, groups - k] - 2 * slack
+    row, group = np.nonzero(tops >= kth[:, None])
+    which, member = np.nonzero(body[row, :, group] >= kth[row][:, None])
+    late_row, late = np.nonzero(rest >= kth[:, None])
+    return (np.concatenate((row[which], late_row)),
+            np.concatenate((member * groups + group[which], late + groups * GROUP)))
+
+
 def _search_some(tile, probes, base, metric, k):
     vectors, norms = tile["vectors"], tile["norms"]
     width, k_distinct = vectors.shape[1], min(k, len(vectors))
@@ -118,11 +143,9 @@ def _search_some(tile, probes, base, metric, k):
         close *= 2
         close -= (norms ** 2).astype(np.float32)
         slack = 2 * rounding * (2 * pn * top + top ** 2)
-    kth = np.partition(close, len(vectors) - k_distinct, axis=1)[:, len(vectors) - k_distinct]
-    row, col = np.nonzero(close >= (kth - 2 * slack)[:, None])
-    if metric == "COSINE":
-        directed = pn[row] > 0
-        row, col = row[directed], col[directed]
+    row, col = _candidates(close, slack, k_distinct)
+    scored = np.isfinite(pn[row]) & ((pn[row] > 0) | (metric != "COSINE"))
+    row, col = row[scored], col[scored]
     score = _exact(probes[row], vectors[col], pn[row], norms[col], metric)
     copies = tile["counts"][col]
     within = np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies)

@@ -54,4 +54,4 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     a plan read is computed once, survives lost executors, and comes back columnar with known size."""
     path = run_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

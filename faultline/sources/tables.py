@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from faultline.functions.clock import plus_millis, to_millis
 from faultline.functions.triage import shift_of
-from faultline.schemas import CATEGORIES
+from faultline.schemas import CATEGORIES, struct
 
 # Thresholds measured for these vectors
 HIGH, MEDIUM = 0.40, 0.34
@@ -26,8 +26,17 @@ LINES = ("LINE-A", "LINE-A", "LINE-B", "LINE-B", "LINE-C", "LINE-C")
 EXPECTED = {"PURCHASE": "SM-0", "SIGNUP": "SM-1", "VIEW": "SM-2", "CLICK": None}
 
 
+# Declared, so that opening a table needs no job to look into its files
+SCHEMAS = {
+    "events": struct("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"),
+    "documents": struct("doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"),
+    "embeddings": struct("vec_id BIGINT, embedding ARRAY<FLOAT>, label INT"),
+    "part": struct("p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE"),
+}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spark.read.schema(SCHEMAS[name]).parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def _pick(index: Column, values) -> Column:

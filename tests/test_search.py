@@ -1,3 +1,5 @@
+from unittest import mock
+
 import numpy as np
 import pytest
 from faultline.operators import cells, topk
@@ -116,8 +118,14 @@ def test_empty_corpus_after_filter(spark):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.integers(0, 10**6), st.integers(1, 7), st.sampled_from(METRICS), st.integers(1, 40), st.integers(1, 9))
-def test_kernel_equals_brute_force(seed, k, metric, corpus, width):
+@given(st.integers(0, 10**6), st.integers(1, 7), st.sampled_from(METRICS), st.integers(1, 90), st.integers(1, 9),
+       st.sampled_from([1, 3, 64]))
+def test_kernel_equals_brute_force(seed, k, metric, corpus, width, group):
+    with mock.patch.object(topk, "GROUP", group):
+        compare_with_brute_force(seed, k, metric, corpus, width)
+
+
+def compare_with_brute_force(seed, k, metric, corpus, width):
     rng = np.random.default_rng(seed)
     c = rng.integers(-2, 3, (corpus, width)).astype(np.float32)
     p = rng.integers(-2, 3, (9, width)).astype(np.float32)
@@ -196,3 +204,17 @@ def test_recall_grows_with_visited_cells(spark, sf):
 def test_manual_schema_is_searchable():
     assert MANUAL["vec"].dataType == T.ArrayType(T.FloatType())
     assert cells._geometry("IP") == ("euclidean", "L2")
+
+
+@pytest.mark.parametrize("metric", METRICS)
+def test_kernel_on_many_distinct_vectors_and_broken_ones(metric):
+    rng = np.random.default_rng(11)
+    c, p = rng.normal(size=(2000, 12)).astype(np.float32), rng.normal(size=(30, 12)).astype(np.float32)
+    c[5, 3], c[77, 0], p[4, 2] = np.nan, np.inf, np.nan
+    row, pos, score, _ = topk.search(tile := topk.pack(np.arange(2000), c, metric, 6), p, metric, 6)
+    sane = {i: v.tolist() for i, v in enumerate(c) if np.isfinite(v).all()}
+    want = naive({i: v.tolist() for i, v in enumerate(p) if i != 4}, sane, metric, 6)
+    found = {}
+    for r, q, s in zip(row, pos, score):
+        found.setdefault(int(r), []).append((int(tile["ids"][q]), float(s)))
+    same(found, want)
