@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from faultline.llm.fingerprints import neighbours
 from faultline.llm.packing import pack_documents
+from faultline.llm.secrets import SQL as SECRETS_SQL
+from faultline.llm.secrets import secret_report
 from faultline.llm.tables import table, vocabulary
 from faultline.llm.token_counts import token_counts
 from faultline.llm.token_files import read_tokens, write_tokens
@@ -18,10 +21,18 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path)
 
 
+def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours(table(spark, sf_dir, "documents"))
+
+
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=0)
 
 
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(table(spark, sf_dir, "documents"))
+
+
 def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_texts(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -32,8 +43,10 @@ def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_files": token_files,
+    "op2_fingerprints": fingerprints,
     "op4_packing": packing,
+    "op5_secrets": secrets,
     "op7_bpe": bpe,
     "op9_token_counts": counts,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_secrets": SECRETS_SQL}
