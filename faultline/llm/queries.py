@@ -11,6 +11,7 @@ from faultline.llm.secrets import secret_report
 from faultline.llm.tables import table, vocabulary
 from faultline.llm.token_counts import token_counts
 from faultline.llm.token_files import read_tokens, write_tokens
+from faultline.llm.toxicity import learn, score
 from faultline.llm.transducer import code_texts
 from faultline.session import run_dir
 
@@ -37,6 +38,11 @@ def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_texts(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, learn(docs, table(spark, sf_dir, "labels")))
+
+
 def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
@@ -47,6 +53,7 @@ QUERIES = {
     "op4_packing": packing,
     "op5_secrets": secrets,
     "op7_bpe": bpe,
+    "op8_toxicity": toxicity,
     "op9_token_counts": counts,
 }
 ORACLES: dict[str, str] = {"op5_secrets": SECRETS_SQL}
