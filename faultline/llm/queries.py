@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from faultline.llm.fingerprints import neighbours
+from faultline.llm.metric_join import near_vectors
 from faultline.llm.packing import pack_documents
 from faultline.llm.secrets import SQL as SECRETS_SQL
 from faultline.llm.secrets import secret_report
@@ -26,6 +27,10 @@ def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours(table(spark, sf_dir, "documents"))
 
 
+def near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=0)
 
@@ -50,6 +55,7 @@ def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_files": token_files,
     "op2_fingerprints": fingerprints,
+    "op3_metric_join": near_embeddings,
     "op4_packing": packing,
     "op5_secrets": secrets,
     "op7_bpe": bpe,
