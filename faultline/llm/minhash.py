@@ -123,45 +123,69 @@ def cross_pairs(postings: DataFrame, groups: DataFrame, reps: DataFrame) -> Data
             "rep", "grp", "n", "tokens")
 
     def meet(batches):
-        for key, rows in runs(batches):
-            x = np.array(rows["rep"], np.int64)
-            n, group, tile_ = np.array(rows["n"]), np.array(rows["grp"]), np.array(rows["tile"])
-            tokens = np.concatenate(rows["tokens"]).reshape(len(x), COORDINATES)
-            for i in range(len(x) - 1):
-                j = np.arange(i + 1, len(x))
-                # a pair of tiles is met once: across, or inside when both are the same tile
-                j = j[(group[j] != group[i]) & ((tile_[j] != tile_[i]) | (key[1] == key[2]))
-                      & (np.minimum(n[j], n[i]) * 100 >= np.maximum(n[j], n[i]) * PERCENT)]
-                if not len(j):
-                    continue
-                j = j[(tokens[j] == tokens[i]).sum(axis=1) >= MATCHES]
-                if len(j):
-                    yield pa.record_batch([pa.array(np.minimum(x[i], x[j])), pa.array(np.maximum(x[i], x[j]))],
-                                          names=["a", "b"])
-
-    dealt = wide.repartition("token", "one", "two").sortWithinPartitions("token", "one", "two", "rep")
+        for rows in whole_runs(batches):
+            yield from matches(rows)
+
+    dealt = wide.repartition("token", "one", "two").sortWithinPartitions("token", "one", "two", "grp", "rep")
     return dealt.mapInArrow(meet, "a bigint, b bigint").distinct()
 
 
-def runs(batches):
-    """((token, one, two), columns) of every run of rows with equal keys; a run is at most two tiles."""
-    key, held = None, None
-    names = ["rep", "grp", "n", "tile", "tokens"]
+def starts(columns: list[np.ndarray]) -> np.ndarray:
+    """Where a run of equal values in all ``columns`` begins."""
+    fresh = np.zeros(len(columns[0]), bool)
+    fresh[:1] = True
+    for column in columns:
+        fresh[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(fresh)
+
+
+def whole_runs(batches):
+    """Tables of sorted rows in which every (token, one, two) is complete; such a run is at most two tiles."""
+    held = None
     for batch in batches:
-        keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("token", "one", "two")])
-        edges = [0, *(np.flatnonzero((np.diff(keys, axis=1) != 0).any(axis=0)) + 1), len(batch)] if len(batch) else []
-        lists = {c: batch.column(c).to_pylist() for c in names[:4]}
-        flat = batch.column("tokens").flatten().to_numpy().reshape(len(batch), -1) if len(batch) else None
-        for a, b in zip(edges, edges[1:], strict=False):
-            if key != tuple(keys[:, a].tolist()):
-                if key is not None:
-                    yield key, held
-                key, held = tuple(keys[:, a].tolist()), {c: [] for c in names}
-            for c in names[:4]:
-                held[c] += lists[c][a:b]
-            held["tokens"].append(flat[a:b].reshape(-1))
-    if key is not None:
-        yield key, held
+        table = pa.Table.from_batches([batch])
+        held = pa.concat_tables([held, table]) if held is not None else table
+        if len(held):
+            cut = int(starts([held.column(c).to_numpy() for c in ("token", "one", "two")])[-1])
+            if cut:
+                yield held.slice(0, cut)
+                held = held.slice(cut)
+    if held is not None and len(held):
+        yield held
+
+
+def matches(rows: pa.Table, most: int = 1 << 18):
+    """Pairs (a, b) within runs whose groups differ, whose sizes fit and whose signatures agree often enough. Rows are
+    sorted by group within a run, so each row only meets those behind its own group."""
+    token, one, two, tile, rep, group, n = (rows.column(c).to_numpy().astype(np.int64) for c in (
+        "token", "one", "two", "tile", "rep", "grp", "n"))
+    tokens = rows.column("tokens").combine_chunks().flatten().to_numpy().reshape(len(rows), COORDINATES)
+    total = len(rows)
+
+    def ends(first: np.ndarray) -> np.ndarray:
+        sizes = np.diff(np.append(first, total))
+        return np.repeat(first + sizes, sizes)
+
+    behind, end = ends(starts([token, one, two, group])), ends(starts([token, one, two]))
+    counts = end - behind
+    done = np.cumsum(counts)
+    at = 0
+    while at < total:
+        upto = max(at + 1, int(np.searchsorted(done, (done[at - 1] if at else 0) + most, "right")))
+        part = counts[at:upto]
+        i = np.repeat(np.arange(at, upto), part)
+        j = np.arange(len(i)) - np.repeat(np.cumsum(part) - part, part) + behind[i]
+        at = upto
+        # a pair of tiles is met once: across, or inside when both are the same tile
+        ok = ((tile[i] != tile[j]) | (one[i] == two[i])) & (
+            np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * PERCENT)
+        i, j = i[ok], j[ok]
+        for k in range(0, len(i), 1 << 14):
+            x, y = i[k:k + (1 << 14)], j[k:k + (1 << 14)]
+            near = (tokens[x] == tokens[y]).sum(axis=1) >= MATCHES
+            if near.any():
+                x, y = rep[x[near]], rep[y[near]]
+                yield pa.record_batch([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
 
 def counted(pairs: DataFrame, reps: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from faultline.llm.fingerprints import neighbours
 from faultline.llm.metric_join import near_vectors
+from faultline.llm.minhash import near_duplicates
 from faultline.llm.packing import pack_documents
 from faultline.llm.secrets import SQL as SECRETS_SQL
 from faultline.llm.secrets import secret_report
@@ -39,6 +40,10 @@ def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
 
 
+def near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), size=2)
+
+
 def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_texts(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -58,6 +63,7 @@ QUERIES = {
     "op3_metric_join": near_embeddings,
     "op4_packing": packing,
     "op5_secrets": secrets,
+    "op6_minhash": near_documents,
     "op7_bpe": bpe,
     "op8_toxicity": toxicity,
     "op9_token_counts": counts,
