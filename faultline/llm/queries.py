@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from faultline.llm.fingerprints import neighbours
+from faultline.llm.licenses import scan_licenses
 from faultline.llm.metric_join import near_vectors
 from faultline.llm.minhash import near_duplicates
 from faultline.llm.packing import pack_documents
@@ -57,6 +58,10 @@ def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_files": token_files,
     "op2_fingerprints": fingerprints,
@@ -67,5 +72,6 @@ QUERIES = {
     "op7_bpe": bpe,
     "op8_toxicity": toxicity,
     "op9_token_counts": counts,
+    "op10_licenses": licenses,
 }
 ORACLES: dict[str, str] = {"op5_secrets": SECRETS_SQL}
