@@ -55,26 +55,35 @@ class Pretokens:
         self.keeps_space = before["type"] == "ByteLevel"
         pattern = BYTE_LEVEL if self.keeps_space else before["pretokenizers"][0]["pattern"]["Regex"]
         self.find = regex.compile(pattern).findall
-        self.find_iter = regex.compile(pattern).finditer
+        from tokenizers import Tokenizer
+        library = Tokenizer.from_file(path)
+        self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
 
     def normalise(self, text: str) -> str:
-        """Composed and lower-cased code point by code point (no context rules), where the file asks for it."""
+        """Latin text, composed and lower-cased where the file asks for it."""
         if not self.lower:
             return text
-        if text.isascii():
-            return text.lower()
-        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        return text.lower() if text.isascii() else unicodedata.normalize("NFC", text).lower()
+
+    def cut(self, text: str) -> list[str]:
+        """Words of a text without special strings. Beyond the Latin blocks the classes of characters differ between
+        versions of Unicode; there the library's own normaliser and pattern decide."""
+        if text.isascii() or max(text) <= "\u024f":
+            return self.find(self.normalise(text))
+        if self.lower:
+            text = self.normalizer.normalize_str(text)
+        return [bytes([BYTES[c] for c in word]).decode() for word, _ in self.pre_tokenizer.pre_tokenize_str(text)]
 
     def words(self, text: str) -> list[str | int]:
         """Words in order; a special string is its id."""
         if self.cut_special is None or "<" not in text:
-            return self.find(self.normalise(text))
+            return self.cut(text)
         out: list[str | int] = []
         for n, part in enumerate(self.cut_special.split(text)):
             if n % 2:
                 out.append(self.special[part])
             elif part:
-                out += self.find(self.normalise(part))
+                out += self.cut(part)
         return out
 
 
