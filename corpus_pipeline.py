@@ -38,10 +38,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with every secret replaced by a mark; the length follows the text."""
     names = docs.columns
-    found = scan(docs.select(F.struct(*names).alias("row"), F.col("text").alias("text")), run_dir(spark, "ledger"))
+    found = scan(docs.select(F.struct(*names).alias("__document"), F.col("text").alias("text")), run_dir(spark, "ledger"))
     held = F.array_size("found") > 0
-    text = masked(F.col("row.text"), F.col("found"))
-    out = found.select(*[F.col(f"row.`{name}`") for name in names], held.alias("__held"), text.alias("__text"))
+    text = masked(F.col("__document.text"), F.col("found"))
+    out = found.select(*[F.col(f"__document.`{name}`") for name in names], held.alias("__held"), text.alias("__text"))
     changed = {"text": F.when(F.col("__held"), F.col("__text")).otherwise(F.col("text"))}
     if "n_chars" in names:
         changed["n_chars"] = F.when(F.col("__held"), F.length("__text").cast("long")).otherwise(F.col("n_chars"))

@@ -120,7 +120,8 @@ def neighbours(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int
                        handleInvalid="keep")
 
     def ranged(frame):
-        return dealt.transform(frame.withColumn("x", F.col("id").cast("double"))).drop("x")
+        # ids that are NULL go to a range behind all others
+        return dealt.transform(frame.withColumn("x", F.coalesce(F.col("id").cast("double"), F.lit(float("nan"))))).drop("x")
 
     # one row per range, of a number that is set above
     heads = sorted(ranged(docs.select(F.col(key).cast("long").alias("id"))).groupBy("range")
