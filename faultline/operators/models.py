@@ -51,7 +51,8 @@ class ModelSpec:
 
 
 def call_with_retry(call: Call, chunk: list[str], spec: ModelSpec) -> list[tuple]:
-    """(output, error) per input. After the last attempt: NULL and the reason, never an exception."""
+    """(output, error) per input. After the last attempt: NULL and the reason, never an exception. A chunk that fails is
+    asked again input by input, so that one bad text does not take its neighbours along."""
     error = None
     for attempt in range(spec.attempts):
         try:
@@ -63,7 +64,9 @@ def call_with_retry(call: Call, chunk: list[str], spec: ModelSpec) -> list[tuple
             error = f"{type(raised).__name__}: {raised}"
             if attempt + 1 < spec.attempts:
                 time.sleep(spec.backoff_s * 2 ** attempt)
-    return [(None, error)] * len(chunk)
+    if len(chunk) > 1:
+        return [call_with_retry(call, [text], spec)[0] for text in chunk]
+    return [(None, error)]
 
 
 def predict(column: Column, spec: ModelSpec, max_in_flight: int, batch_size: int) -> Column:

@@ -29,9 +29,15 @@ def _received() -> Column:
     return _row(F.lit("RECEIVED"), F.lit(None), F.col("alarm_time"), 1)
 
 
-def _contextualized() -> Column:
-    name = F.when(F.col("match_confidence") == "low", "NEEDS_CONTEXT").otherwise("CONTEXTUALIZED")
-    return _row(name, retrieval_note(F.col("doc_ref"), F.col("score")), F.col("t_context"), 2)
+def _failure(records: DataFrame) -> Column:
+    """The reason of a failed model call, where the records carry one."""
+    return F.col("error") if "error" in records.columns else F.lit(None).cast("string")
+
+
+def _contextualized(failure: Column) -> Column:
+    low = (F.col("match_confidence") == "low") | failure.isNotNull()
+    note = F.coalesce(failure, retrieval_note(F.col("doc_ref"), F.col("score")))
+    return _row(F.when(low, "NEEDS_CONTEXT").otherwise("CONTEXTUALIZED"), note, F.col("t_context"), 2)
 
 
 def _triaged() -> Column:
@@ -40,10 +46,11 @@ def _triaged() -> Column:
     return _row(F.lit("TRIAGED"), F.concat("priority", F.lit(" to "), "queue"), at, 3)
 
 
-def _planned() -> Column:
+def _planned(failure: Column) -> Column:
     refused = ungrounded(F.col("ai_work_order"))
-    name = F.when(refused, "NEEDS_REVIEW").otherwise("ACTION_DEFINED")
-    return _row(name, F.when(refused, "planner could not ground an action"), F.col("t_action"), 4)
+    name = F.when(refused | failure.isNotNull(), "NEEDS_REVIEW").otherwise("ACTION_DEFINED")
+    note = F.coalesce(failure, F.when(refused, "planner could not ground an action"))
+    return _row(name, note, F.col("t_action"), 4)
 
 
 def status_received(alarms: DataFrame) -> DataFrame:
@@ -51,7 +58,7 @@ def status_received(alarms: DataFrame) -> DataFrame:
 
 
 def status_context(ctx: DataFrame) -> DataFrame:
-    return _log(ctx, _contextualized())
+    return _log(ctx, _contextualized(_failure(ctx)))
 
 
 def status_triaged(ctx: DataFrame) -> DataFrame:
@@ -60,11 +67,11 @@ def status_triaged(ctx: DataFrame) -> DataFrame:
 
 def status_retrieved(ctx: DataFrame) -> DataFrame:
     """Both rows of stage 1 from one read of its output."""
-    return _log(ctx, _contextualized(), _triaged())
+    return _log(ctx, _contextualized(_failure(ctx)), _triaged())
 
 
 def status_action(orders: DataFrame) -> DataFrame:
-    return _log(orders, _planned())
+    return _log(orders, _planned(_failure(orders)))
 
 
 def status_log(alarms: DataFrame, ctx: DataFrame, orders: DataFrame) -> DataFrame:

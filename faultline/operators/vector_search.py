@@ -168,8 +168,9 @@ def vector_search(probes: DataFrame, corpus: DataFrame, probe: str, vec: str, k:
     """Columns of ``probes``, columns of ``corpus``, ``rank``, and ``score`` (DOUBLE) last.
 
     ``where`` restricts the corpus before the search. A NULL probe has no hits; with ``how='left'``
-    its row stays, padded with NULLs. ``distinct_by`` names a column that determines the probe
-    vector: each distinct vector is then searched once and its hits are looked up. ``payload`` limits
+    its row stays, padded with NULLs. Every row has its own hits, also where ``key`` repeats, and the same ones under
+    every exact strategy. ``distinct_by`` names a column that determines the probe vector: each distinct value is then
+    searched once and its hits are looked up; else that is done by a digest of the vector. ``payload`` limits
     the corpus columns that come back. COSINE and IP: larger is better; L2 is the plain (not squared)
     distance, smaller is better. Ties go to the smaller ``corpus_key``.
     """
@@ -208,10 +209,15 @@ def vector_search(probes: DataFrame, corpus: DataFrame, probe: str, vec: str, k:
         found = lookup(found, right, "__id", how)
         return found.select(*probes.columns, *tail)
 
-    unit = distinct_by or key
-    asked = probes.where(F.col(probe).isNotNull()).select(F.col(unit).alias("key"), F.col(probe).alias("pv"))
-    if distinct_by is not None:
-        asked = asked.dropDuplicates(["key"])
+    unit = distinct_by or "__unit"
+    if distinct_by is None:
+        # a key may stand on several rows with different vectors: hits belong to the vector, not to the key
+        probes_in = probes.withColumn("__unit", F.md5(F.array_join(F.transform(
+            probe, lambda x: F.coalesce(x.cast("string"), F.lit("-"))), ",")))
+    else:
+        probes_in = probes
+    asked = probes_in.where(F.col(probe).isNotNull()).select(
+        F.col(unit).alias("key"), F.col(probe).alias("pv")).dropDuplicates(["key"])
     if strategy == "resident":
         hits = asked.select("key", F.inline(index.hits(F.col("pv"))))
     elif strategy == "blocked":
@@ -224,7 +230,7 @@ def vector_search(probes: DataFrame, corpus: DataFrame, probe: str, vec: str, k:
         raise ValueError(f"unknown strategy {strategy!r}")
     hits = hits.withColumnRenamed("id", "__id").withColumnRenamed("key", unit)
     matched = lookup(hits, right, "__id").drop("__id")
-    return lookup(probes, matched, unit, how).select(*probes.columns, *tail)
+    return lookup(probes_in, matched, unit, how).select(*probes.columns, *tail)
 
 
 def constant_search(corpus: DataFrame, vector: list[float], vec: str, k: int,

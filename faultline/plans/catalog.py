@@ -71,8 +71,9 @@ def log_of(spark, sf, ctx: DataFrame | None = None) -> DataFrame:
 
 
 def families(ctx: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return (store.context_family(ctx, created_at=F.col("t_context")),
-            store.action_family(retrieve.work_orders(ctx)))
+    """Contexts, and the orders that had arrived at the moment asked about."""
+    arrived = retrieve.work_orders(ctx).where(F.col("t_action") <= moment(AS_OF))
+    return store.context_family(ctx, created_at=F.col("t_context")), store.action_family(arrived)
 
 
 def incident_of(spark, sf, ctx: DataFrame | None = None) -> DataFrame:
@@ -149,7 +150,7 @@ def snk_incident_context(spark, sf):
 
 @query
 def snk_incident_action(spark, sf):
-    _, act = families(retrieve.context(spark, sf))
+    act = store.action_family(orders_of(spark, sf))
     return store.first_wins(act, "incident_id", "t_action")
 
 
@@ -719,7 +720,7 @@ def run_plan(spark, work: str) -> DataFrame:
     ctx = streams.contexts(streams.folder(spark, f"{work}/context"))
     id_ = F.col("alarm_id").cast("long")
     clock = plus_millis(F.col("t_alarm"), 1300 + id_ % 700 + id_ % 1500)
-    orders = stages.plan(ctx.where(id_ % 20 != 0), QUOTING, clock=clock)
+    orders = stages.plan(ctx, QUOTING, clock=clock)
     finish(sinks.to_folder(orders, f"{work}/orders", f"{work}/checkpoints/plan"))
     return streams.replay_folder(spark, f"{work}/orders", WORK_ORDER)
 
@@ -781,4 +782,4 @@ def stream_human_actions(spark, sf):
     tables.actions(spark, sf).write.parquet(f"{work}/in")
     source = spark.readStream.schema(spark.read.parquet(f"{work}/in").schema).parquet(f"{work}/in")
     finish(stages.human_actions(source, f"{work}/log", f"{work}/hum", f"{work}/checkpoints/actions"))
-    return spark.read.parquet(f"{work}/log").drop("batch_id")
+    return sinks.read_batches(spark, f"{work}/log")

@@ -88,7 +88,7 @@ ORDERS_SQL = """orders AS (
       ELSE '{"diagnosis":"see ' || doc_ref || '","action":"send ' || queue || '","parts":[],"safety":"none",'
         || '"estimated_minutes":' || CAST(severity * 15 AS VARCHAR) || ',"line_stop_likely":'
         || CASE WHEN severity >= 4 THEN 'true' ELSE 'false' END || '}' END AS ai_work_order
-  FROM context WHERE eid % 20 <> 0)"""
+  FROM context)"""
 
 PIPELINE_LOG_SQL = """pipeline_log AS (
   SELECT alarm_id AS incident_id, 'RECEIVED' AS status, 'pipeline' AS actor, CAST(NULL AS VARCHAR) AS note,
@@ -110,7 +110,7 @@ ACTIONS_SQL = """actions AS (
     CASE WHEN user_id % 4 <> 0 THEN 'replace unit ' || CAST(user_id AS VARCHAR) END AS deed,
     CASE WHEN user_id % 3 <> 0 THEN 'note by ' || CAST(user_id AS VARCHAR) END AS remark,
     CAST(date_trunc('millisecond', ts) AS TIMESTAMP) + INTERVAL 1 HOUR AS acted_at
-  FROM events WHERE event_type = 'click'),
+  FROM events),
 done AS (
   SELECT * FROM actions WHERE what <> 'escalate' AND NOT (what = 'assign' AND who IS NULL)
     AND NOT (what = 'define' AND deed IS NULL)),
@@ -142,7 +142,7 @@ incident AS (
     date_diff('millisecond', c.t_alarm, c.t_context) AS retrieval_lag_ms,
     date_diff('millisecond', c.t_context, o.t_action) AS planning_lag_ms,
     date_diff('millisecond', c.t_alarm, o.t_action) AS total_lag_ms
-  FROM context c LEFT JOIN orders o ON o.alarm_id = c.alarm_id
+  FROM context c LEFT JOIN (SELECT * FROM orders WHERE t_action <= {NOW}) o ON o.alarm_id = c.alarm_id
     LEFT JOIN last_assign la ON la.incident_id = c.alarm_id
     LEFT JOIN last_define ld ON ld.incident_id = c.alarm_id
     LEFT JOIN last_end le ON le.incident_id = c.alarm_id)"""
@@ -490,5 +490,5 @@ TO_QUOTED = [*TO_CONTEXT, QUOTED_ORDERS]
 add("stream_orders", f"SELECT alarm_id, doc_ref, priority, {SCORE}, t_action, ai_work_order FROM orders", TO_QUOTED)
 add("stream_incident", """
 SELECT incident_id, priority, queue, created_at, retrieval_lag_ms, planning_lag_ms, total_lag_ms FROM incident""",
-    [*TO_QUOTED, ACTIONS_SQL, INCIDENT_SQL])
+    [*TO_QUOTED, ACTIONS_SQL, INCIDENT_SQL.replace(f" WHERE t_action <= {NOW}", "")])  # the stream has them all
 add("stream_status", "SELECT * FROM pipeline_log", [*TO_QUOTED, PIPELINE_LOG_SQL])

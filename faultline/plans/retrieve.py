@@ -15,8 +15,8 @@ from faultline.sources import tables
 
 
 def enrich(hits: DataFrame, high: float = triage.HIGH, medium: float = triage.MEDIUM,
-           t_context: Column | None = None) -> DataFrame:
-    """Hits (alarm columns, section columns, score) -> the 22 columns of the context record.
+           t_context: Column | None = None, more: list[str] | None = None) -> DataFrame:
+    """Hits (alarm columns, section columns, score) -> the 22 columns of the context record, and those in ``more``.
 
     Thresholds see the score before it is narrowed to FLOAT. ``t_context`` is the stage's stamp.
     """
@@ -32,7 +32,7 @@ def enrich(hits: DataFrame, high: float = triage.HIGH, medium: float = triage.ME
         "t_alarm": F.col("alarm_time"),
         "planner_input": text.planner_input(),
     }
-    return stamped.select(*[derived.get(c, F.col(c)).alias(c) for c in CONTEXT.names])
+    return stamped.select(*[derived.get(c, F.col(c)).alias(c) for c in CONTEXT.names], *(more or []))
 
 
 def hits(spark: SparkSession, sf_dir: str, k: int = 1, how: str = "inner", **options) -> DataFrame:
@@ -50,9 +50,9 @@ def context(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def work_orders(ctx: DataFrame) -> DataFrame:
-    """Template planner with a deterministic clock; one alarm in twenty is still unplanned."""
+    """Template planner with a deterministic clock, over every context."""
     id_ = F.col("alarm_id").cast("long")
     reply = template_reply(F.col("match_confidence") != "low", F.col("doc_ref"), F.col("queue"), F.col("severity"))
-    planned = ctx.where(id_ % 20 != 0).withColumn("ai_work_order", reply).withColumn(
+    planned = ctx.withColumn("ai_work_order", reply).withColumn(
         "t_action", plus_millis(F.col("t_alarm"), 1300 + id_ % 700 + id_ % 1500))
     return planned.select(*WORK_ORDER.names)

@@ -33,7 +33,9 @@ def extra_sections(spark: SparkSession, path: str, enabled: bool | None = None)
         return nothing
     try:
         files = spark.read.text(path, wholetext=True)
-    except AnalysisException:
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return nothing
     rows = F.from_json("value", "ARRAY<ARRAY<STRING>>")
     each = files.select(F.posexplode(rows).alias("ord", "row"))
@@ -50,7 +52,9 @@ def assemble(curated: DataFrame, extra: DataFrame) -> DataFrame:
 def fingerprint(spark: SparkSession, path: str) -> str | None:
     try:
         row = spark.read.json(f"{path}_meta", schema="fingerprint STRING").first()
-    except AnalysisException:
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     return row.fingerprint if row else None
 

@@ -108,11 +108,11 @@ def context_clock(df: DataFrame) -> DataFrame:
 
 
 def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Human actions from the click events; neighbouring events act on one incident."""
+    """Human actions from the events of every type; neighbouring events act on one incident."""
     e = F.col("event_id")
     what = _pick(e % 7, ("assign", "define", "IN_PROGRESS", "RESOLVED", "REJECTED", "CLOSED", "escalate"))
     user = F.col("user_id").cast("string")
-    return read(spark, sf_dir, "events").where(F.col("event_type") == "click").select(
+    return read(spark, sf_dir, "events").select(
         e.alias("action_id"),
         (e - e % 4).cast("string").alias("incident_id"),
         what.alias("what"),

@@ -159,3 +159,12 @@ def test_stamp_is_taken_after_the_call(spark):
     done = ml_predict(df, spec(slow), "text", out="o", batch_size=1, max_in_flight=1, stamp="t")
     waits = done.select("o", F.timestamp_diff("MILLISECOND", "started", "t").alias("w")).collect()
     assert min(r.w for r in waits) >= 600
+
+
+def test_one_bad_text_does_not_take_its_chunk_along():
+    def call(texts):
+        if "bad" in texts:
+            raise ValueError("refused")
+        return [t.upper() for t in texts]
+    spec = ModelSpec("m", "STRING", lambda spec: call, attempts=2, backoff_s=0.0)
+    assert call_with_retry(call, ["a", "bad", "b"], spec) == [("A", None), (None, "ValueError: refused"), ("B", None)]

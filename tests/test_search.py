@@ -218,3 +218,13 @@ def test_kernel_on_many_distinct_vectors_and_broken_ones(metric):
     for r, q, s in zip(row, pos, score):
         found.setdefault(int(r), []).append((int(tile["ids"][q]), float(s)))
     same(found, want)
+
+
+@pytest.mark.parametrize("k", [1, 2])
+def test_repeated_keys_have_their_own_hits_under_every_strategy(spark, k):
+    rows = [("A", [1.0, 0.0]), ("A", [0.0, 1.0]), ("A", [1.0, 0.0]), ("B", None), ("C", [0.6, 0.8])]
+    probes = spark.createDataFrame(rows, "alarm_id STRING, p ARRAY<FLOAT>")
+    corpus = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [0.7, 0.7])], "id BIGINT, v ARRAY<FLOAT>")
+    got = [sorted((r.alarm_id, str(r.p), r.id or 0, r["rank"] or 0, round(r.score or 0, 6)) for r in vector_search(
+        probes, corpus, "p", "v", k=k, how="left", strategy=s, cells=2, nprobe=2).collect()) for s in ("resident", "blocked", "cells")]
+    assert got[0] == got[1] == got[2] and len(got[0]) == 4 * k + 1
