@@ -42,13 +42,17 @@ def moment(value: str) -> Column:
 
 
 AS_OF = "2024-01-20 00:00:00"
-SINCE, UNTIL = "2024-01-01 00:00:00", "2024-03-01 00:00:00"  # encloses all rows
+SINCE, UNTIL = "2024-01-06 06:30:00", "2024-01-17 18:00:00"  # the range of the panels: open, closed
 
 
-def everything() -> tuple[Column, Column]:
+def panel_range() -> tuple[Column, Column]:
     return moment(SINCE), moment(UNTIL)
 
 
+def last(interval: str) -> tuple[Column, Column]:
+    return moment(AS_OF) - F.expr(f"INTERVAL {interval}"), moment(AS_OF)
+
+
 # ---- the shared inputs ------------------------------------------------------------------------
 
 def stage_one(spark, sf) -> DataFrame:
@@ -595,50 +599,55 @@ def dash_sla_breached(spark, sf):
     return metrics.breached(current_of(spark, sf))
 
 
-def _percentile(p: float) -> Query:
+def _percentile(p: float, since: Callable[[], tuple[Column, Column]]) -> Query:
     def run(spark, sf):
-        found = metrics.latency_percentile(incident_of(configure(spark), sf), p, *everything())
+        found = metrics.latency_percentile(incident_of(configure(spark), sf), p, *since())
         return found.select(F.round("value", 6).alias("value"))
     return run
 
 
-QUERIES["dash_p50"], QUERIES["dash_p95"] = _percentile(0.5), _percentile(0.95)
+def _before_all() -> tuple[Column, Column]:
+    return moment("2023-01-01 00:00:00"), moment("2023-01-02 00:00:00")
+
+
+QUERIES["dash_p50"], QUERIES["dash_p95"] = _percentile(0.5, lambda: last("15 MINUTES")), _percentile(0.95, lambda: last("15 MINUTES"))
+QUERIES["dash_p95_range"], QUERIES["dash_p50_quiet"] = _percentile(0.95, panel_range), _percentile(0.5, _before_all)
 
 
 @query
 def dash_grounded_pct(spark, sf):
-    return metrics.grounded_pct(current_of(spark, sf), *everything())
+    return metrics.grounded_pct(current_of(spark, sf), *last("1 HOUR"))
 
 
 @query
 def dash_latency_series(spark, sf):
-    series = metrics.latency_series(incident_of(spark, sf), *everything())
+    series = metrics.latency_series(incident_of(spark, sf), *panel_range())
     return series.select("minute", *[F.round(c, 6).alias(c) for c in ("retrieval_ms", "planning_ms", "total_ms")])
 
 
 @query
 def dash_time_split(spark, sf):
-    return metrics.time_split(incident_of(spark, sf), *everything())
+    return metrics.time_split(incident_of(spark, sf), *panel_range())
 
 
 @query
 def dash_status_pie(spark, sf):
-    return metrics.status_pie(current_of(spark, sf), *everything())
+    return metrics.status_pie(current_of(spark, sf), *panel_range())
 
 
 @query
 def dash_priority_by_queue(spark, sf):
-    return metrics.priority_by_queue(incident_of(spark, sf), *everything())
+    return metrics.priority_by_queue(incident_of(spark, sf), *panel_range())
 
 
 @query
 def dash_confidence(spark, sf):
-    return metrics.confidence(incident_of(spark, sf), *everything())
+    return metrics.confidence(incident_of(spark, sf), *panel_range())
 
 
 @query
 def dash_top_sections(spark, sf):
-    return metrics.top_sections(incident_of(spark, sf), *everything())
+    return metrics.top_sections(incident_of(spark, sf), *panel_range())
 
 
 @query

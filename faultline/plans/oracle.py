@@ -354,7 +354,7 @@ add("upsert_last_wins", """
 SELECT * FROM attempts QUALIFY row_number() OVER (PARTITION BY incident_id ORDER BY t_action DESC) = 1""",
     [*TO_ORDERS, AGAIN])
 add("lag_columns", "SELECT incident_id, retrieval_lag_ms, planning_lag_ms, total_lag_ms FROM incident", TO_INCIDENT)
-add("created_at_default", "SELECT count(*) AS n, count(*) AS stamped FROM context", TO_CONTEXT)
+add("created_at_default", "SELECT count(*) AS n, count(t_context) AS stamped FROM context", TO_CONTEXT)
 add("latest_status", "SELECT * FROM latest", [*TO_LOG, LATEST_SQL])
 add("incident_current", "SELECT * EXCLUDE (eid, full_score) FROM current", TO_CURRENT)
 add("needs_human", "SELECT incident_id, status, needs_human FROM current", TO_CURRENT)
@@ -407,31 +407,38 @@ SELECT count(*) AS value FROM incident WHERE created_at > {NOW} - INTERVAL 1 HOU
     TO_INCIDENT)
 add("dash_needs_human", f"SELECT count(*) AS value FROM current WHERE needs_human AND {OPEN}", TO_CURRENT)
 add("dash_sla_breached", "SELECT count(*) AS value FROM current WHERE sla_breached", TO_CURRENT)
-for _name, _p in {"dash_p50": 0.5, "dash_p95": 0.95}.items():
-    add(_name, f"SELECT round(coalesce(quantile_cont(total_lag_ms, {_p}), 0), 6) AS value FROM incident", TO_INCIDENT)
-add("dash_grounded_pct", """
-SELECT round(100.0::DOUBLE * count(*) FILTER (WHERE NOT needs_human) / nullif(count(*), 0)) AS value FROM current""",
-    TO_CURRENT)
-add("dash_latency_series", """
+QUARTER = f"> {NOW} - INTERVAL 15 MINUTE AND t_action <= {NOW}"
+PANEL = "> TIMESTAMP '2024-01-06 06:30:00' AND {0} <= TIMESTAMP '2024-01-17 18:00:00'"
+ACTED, CREATED = "t_action " + PANEL.format("t_action"), "created_at " + PANEL.format("created_at")
+QUIET = "t_action > TIMESTAMP '2023-01-01 00:00:00' AND t_action <= TIMESTAMP '2023-01-02 00:00:00'"
+for _name, _p, _when in (("dash_p50", 0.5, f"t_action {QUARTER}"), ("dash_p95", 0.95, f"t_action {QUARTER}"),
+                         ("dash_p95_range", 0.95, ACTED), ("dash_p50_quiet", 0.5, QUIET)):
+    add(_name, f"SELECT round(coalesce(quantile_cont(total_lag_ms, {_p}), 0), 6) AS value FROM incident WHERE {_when}",
+        TO_INCIDENT)
+add("dash_grounded_pct", f"""
+SELECT round(100.0::DOUBLE * count(*) FILTER (WHERE NOT needs_human) / nullif(count(*), 0)) AS value FROM current
+WHERE created_at > {NOW} - INTERVAL 1 HOUR AND created_at <= {NOW}""", TO_CURRENT)
+add("dash_latency_series", f"""
 SELECT CAST(date_trunc('minute', t_action) AS TIMESTAMP) AS minute, round(avg(retrieval_lag_ms), 6) AS retrieval_ms,
   round(avg(planning_lag_ms), 6) AS planning_ms, round(avg(total_lag_ms), 6) AS total_ms
-FROM incident WHERE t_action IS NOT NULL GROUP BY 1""", TO_INCIDENT)
-add("dash_time_split", """
+FROM incident WHERE {ACTED} GROUP BY 1""", TO_INCIDENT)
+add("dash_time_split", f"""
 SELECT round(avg(retrieval_lag_ms)) AS retrieval_ms, round(avg(planning_lag_ms)) AS planning_ms,
-  round(avg(total_lag_ms)) AS total_ms, max(total_lag_ms) AS worst_ms FROM incident WHERE t_action IS NOT NULL""",
+  round(avg(total_lag_ms)) AS total_ms, max(total_lag_ms) AS worst_ms FROM incident WHERE {ACTED}""",
     TO_INCIDENT)
-for _name in ("dash_status_pie", "sum_status"):
-    add(_name, "SELECT status, count(*) AS incidents FROM current GROUP BY status", TO_CURRENT)
-add("dash_priority_by_queue", """
+add("dash_status_pie", f"SELECT status, count(*) AS incidents FROM current WHERE {CREATED} GROUP BY status", TO_CURRENT)
+add("sum_status", "SELECT status, count(*) AS incidents FROM current GROUP BY status", TO_CURRENT)
+add("dash_priority_by_queue", f"""
 SELECT queue, count(*) FILTER (WHERE priority = 'P1') AS P1, count(*) FILTER (WHERE priority = 'P2') AS P2,
   count(*) FILTER (WHERE priority = 'P3') AS P3, count(*) FILTER (WHERE priority = 'P4') AS P4, count(*) AS total
-FROM incident GROUP BY queue""", TO_INCIDENT)
-add("dash_confidence", """
+FROM incident WHERE {CREATED} GROUP BY queue""", TO_INCIDENT)
+add("dash_confidence", f"""
 SELECT match_confidence AS confidence, count(*) AS incidents, round(min(full_score), 3) AS worst,
-  round(avg(full_score), 3) AS average, round(max(full_score), 3) AS best FROM incident GROUP BY 1""", TO_INCIDENT)
-add("dash_top_sections", """
+  round(avg(full_score), 3) AS average, round(max(full_score), 3) AS best
+FROM incident WHERE {CREATED} GROUP BY 1""", TO_INCIDENT)
+add("dash_top_sections", f"""
 SELECT doc_ref, matched_section AS section, count(*) AS hits, round(avg(full_score), 3) AS avg_score
-FROM incident GROUP BY 1, 2 ORDER BY hits DESC, doc_ref LIMIT 10""", TO_INCIDENT)
+FROM incident WHERE {CREATED} GROUP BY 1, 2 ORDER BY hits DESC, doc_ref LIMIT 10""", TO_INCIDENT)
 add("dash_waiting", f"""
 SELECT incident_id, asset_id, fault_code, priority, status, coalesce(doc_ref, 'none') AS retrieved,
   round(full_score, 3) AS score, sla_due FROM current WHERE needs_human AND {OPEN}
