@@ -41,7 +41,7 @@ CATEGORY_RULES = {
     "safety": ("ms", 40.0, 480.0, "exceeds"),
     "pneumatic": ("bar", 3.0, 11.0, "falls below"),
 }
-# Topics the corpus must leave uncovered, and the pairs its curated part owns
+# ---- fixed values: topics the corpus must leave uncovered, and the pairs its curated part owns ------
 UNCOVERED_TOPICS = ("crane", "scanner", "fume extraction", "guard hinge", "lockout point")
 CURATED_PAIRS = [
     ("spindle", "bearing wear"), ("hydraulic system", "pressure loss"), ("servo drive", "overcurrent"),

@@ -221,7 +221,11 @@ def corpus_category_counts(spark, sf):
 
 @query
 def rule_lookup_first_match(spark, sf):
-    sections = tables.manual(spark, sf).select("id", "category", "content")
+    """Every text ends with a keyword chosen by its id, or with none, so that all rules and the fallback occur."""
+    words = sorted({w for rule in corpus.MODE_RULES for w in rule[0]})
+    word = F.array(*map(F.lit, words))[(F.col("id") % (len(words) + 1)).cast("int")]
+    ending = F.when(F.col("id") % (len(words) + 1) < len(words), F.concat(F.lit(" shows "), word)).otherwise("")
+    sections = tables.manual(spark, sf).select("id", "category", F.concat("content", ending).alias("content"))
     found = sections.withColumn("m", corpus.measure_for(F.col("content"), F.col("category")))
     return found.select("id", "category", "m.rule_no", "m.unit", "m.low", "m.high", "m.verb")
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from faultline.schemas import CONTEXT_FAMILY, TERMINAL
 from faultline.plans.catalog import AS_OF, REPLAYED
-from faultline.operators.corpus import CATEGORY_RULES, MODE_RULES
 
 ORACLES: dict[str, str] = {}
 NOW = f"TIMESTAMP '{AS_OF}'"
@@ -226,19 +225,56 @@ SELECT p_partkey, component, mode FROM parts p WHERE NOT contains(component, 'gi
     ["parts AS (SELECT *, split_part(p_name, ' ', 2) AS component, split_part(p_name, ' ', 1) AS mode FROM part)"])
 add("corpus_category_counts", "SELECT category, count(*) AS sections FROM manual GROUP BY category", [manual()])
 
-_KEYWORDS = ",\n  ".join(f"({n}, '{w}')" for n, rule in enumerate(MODE_RULES) for w in rule[0])
-_RULES = ",\n  ".join(f"({n}, '{r[1]}', {r[2]}::DOUBLE, {r[3]}::DOUBLE, '{r[4]}')" for n, r in enumerate(MODE_RULES))
-_FALLBACK = ",\n  ".join(
-    f"('{c}', '{r[0]}', {r[1]}::DOUBLE, {r[2]}::DOUBLE, '{r[3]}')" for c, r in CATEGORY_RULES.items())
+# fixed values: keywords by rule, outcomes of rules, outcomes of categories
+KEYWORDS = """
+  (0, 'wear'), (0, 'backlash'), (0, 'elongation'), (0, 'misalignment'), (0, 'sag'), (0, 'scoring'),
+  (0, 'fretting'), (0, 'alignment'), (0, 'index error'), (0, 'overshoot'), (0, 'seating error'),
+  (0, 'dead zone'), (1, 'pitting'), (1, 'roughness'), (1, 'flat spotting'), (1, 'degradation'),
+  (1, 'looseness'), (2, 'grip loss'), (2, 'slippage'), (2, 'slip'), (2, 'tension loss'), (2, 'creep'),
+  (2, 'drift'), (3, 'leak'), (3, 'weep'), (3, 'bypass'), (3, 'leak-back'), (3, 'oil leak'), (3, 'excess flow'),
+  (3, 'leakage'), (4, 'pressure loss'), (4, 'precharge loss'), (4, 'setpoint drift'), (4, 'hysteresis'),
+  (4, 'null shift'), (4, 'chatter'), (4, 'sticking'), (4, 'imbalance'), (5, 'overheating'),
+  (5, 'temperature rise'), (5, 'dew point rise'), (5, 'temperature swing'), (5, 'zone imbalance'),
+  (5, 'cooling loss'), (6, 'insulation degradation'), (6, 'high impedance'), (6, 'ingress'),
+  (7, 'overcurrent'), (7, 'ripple'), (7, 'hot joint'), (7, 'output droop'), (7, 'saturation'),
+  (7, 'electrical erosion'), (8, 'phase error'), (8, 'intermittent output'), (8, 'CRC errors'),
+  (8, 'channel failure'), (8, 'contact bounce'), (8, 'ground loop'), (8, 'loose connection'),
+  (8, 'welded contacts'), (9, 'slow shift'), (9, 'asynchrony'), (9, 'cross fault'), (9, 'diagnostic fault'),
+  (9, 'muting fault'), (9, 'false trip'), (9, 'slow to extend'), (10, 'flow restriction'), (10, 'restriction'),
+  (10, 'blockage'), (10, 'loss of vacuum'), (10, 'flow loss'), (10, 'clogging'), (10, 'fouling'),
+  (10, 'scaling'), (10, 'contamination'), (10, 'aeration'), (10, 'condensate build-up'),
+  (10, 'bowl contamination'), (10, 'cushion loss'), (11, 'open circuit'), (12, 'bearing failure'), (13, 'icing')"""
+RULES = """
+  (0, 'mm', 0.02::DOUBLE, 0.9::DOUBLE, 'exceeds'), (1, 'mm/s RMS', 2.8::DOUBLE, 9.5::DOUBLE, 'rises above'),
+  (2, 'Nm', 25.0::DOUBLE, 220.0::DOUBLE, 'falls below'), (3, 'ml/min', 5.0::DOUBLE, 90.0::DOUBLE, 'exceeds'),
+  (4, 'bar', 3.0::DOUBLE, 240.0::DOUBLE, 'falls below'),
+  (5, 'degrees C', -20.0::DOUBLE, 190.0::DOUBLE, 'climbs past'),
+  (6, 'megohm', 1.0::DOUBLE, 60.0::DOUBLE, 'falls below'), (7, 'A', 2.0::DOUBLE, 180.0::DOUBLE, 'exceeds'),
+  (8, 'mV', 8.0::DOUBLE, 400.0::DOUBLE, 'exceeds'), (9, 'ms', 40.0::DOUBLE, 480.0::DOUBLE, 'exceeds'),
+  (10, 'l/min', 3.0::DOUBLE, 90.0::DOUBLE, 'drops under'),
+  (11, 'megohm', 5.0::DOUBLE, 90.0::DOUBLE, 'exceeds'),
+  (12, 'mm/s RMS', 3.2::DOUBLE, 11.0::DOUBLE, 'rises above'),
+  (13, 'degrees C', -18.0::DOUBLE, 2.0::DOUBLE, 'falls below')"""
+FALLBACK = """
+  ('mechanical', 'mm', 0.02::DOUBLE, 0.4::DOUBLE, 'exceeds'),
+  ('hydraulic', 'bar', 60.0::DOUBLE, 240.0::DOUBLE, 'falls below'),
+  ('electrical', 'V', 12.0::DOUBLE, 640.0::DOUBLE, 'sags below'),
+  ('thermal', 'degrees C', 35.0::DOUBLE, 190.0::DOUBLE, 'climbs past'),
+  ('safety', 'ms', 40.0::DOUBLE, 480.0::DOUBLE, 'exceeds'),
+  ('pneumatic', 'bar', 3.0::DOUBLE, 11.0::DOUBLE, 'falls below')"""
 add("rule_lookup_first_match", """
 SELECT m.id, m.category, CAST(f.n AS INTEGER) AS rule_no, coalesce(r.unit, b.unit) AS unit,
   CASE WHEN f.n IS NULL THEN b.low ELSE r.low END AS low, CASE WHEN f.n IS NULL THEN b.high ELSE r.high END AS high,
   coalesce(r.verb, b.verb) AS verb
 FROM manual m LEFT JOIN first_rule f ON f.id = m.id LEFT JOIN rules r ON r.n = f.n
   LEFT JOIN fallback b ON b.category = m.category""",
-    [manual(), f"keywords(n, word) AS (VALUES {_KEYWORDS})", f"rules(n, unit, low, high, verb) AS (VALUES {_RULES})",
-     f"fallback(category, unit, low, high, verb) AS (VALUES {_FALLBACK})",
-     "first_rule AS (SELECT id, min(n) AS n FROM manual JOIN keywords ON contains(content, word) GROUP BY id)"])
+    [manual(), f"keywords(n, word) AS (VALUES {KEYWORDS})", f"rules(n, unit, low, high, verb) AS (VALUES {RULES})",
+     f"fallback(category, unit, low, high, verb) AS (VALUES {FALLBACK})",
+     # every text gets one keyword by its id, or, in turn, none
+     "numbered AS (SELECT word, row_number() OVER (ORDER BY word) - 1 AS k FROM (SELECT DISTINCT word FROM keywords))",
+     """reports AS (SELECT id, content || coalesce(' shows ' || word, '') AS content FROM manual
+       LEFT JOIN numbered ON k = id % (SELECT count(*) + 1 FROM numbered))""",
+     "first_rule AS (SELECT id, min(n) AS n FROM reports JOIN keywords ON contains(content, word) GROUP BY id)"])
 
 # ---- models -----------------------------------------------------------------------------------
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from faultline.functions.triage import priority_rank
 from faultline.schemas import TERMINAL
 
+# fixed values: the columns of a work list
 LISTED = ["incident_id", "asset_id", "line_id", "fault_code", "alarm_text", "priority", "queue", "doc_ref",
           "matched_section", "match_confidence", "score", "status", "needs_human", "sla_breached", "sla_due",
           "assignee", "total_lag_ms", "t_alarm"]
