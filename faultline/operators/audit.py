@@ -61,13 +61,14 @@ def calibrate(audited: DataFrame) -> DataFrame:
     """The single cut such that scores below it are called low.
 
     Candidates are the distinct scores. Most uncovered alarms caught comes first, then fewest covered
-    ones flagged, then the lowest cut. Counts below a cut accumulate in two levels, over score bins
-    (a fixed number) and inside each bin, so no task sees all scores.
+    ones flagged, then the lowest cut. Counts below a cut accumulate in two levels, over a fixed number of bins of the
+    measured range (any metric) and inside each bin, so no task sees all scores.
     """
     per_score = audited.where(F.col("score").isNotNull()).groupBy("score").agg(
         F.count_if(~F.col("covered")).alias("u"), F.count_if("covered").alias("c"))
-    binned = per_score.withColumn(
-        "bin", F.least(F.greatest(F.floor((F.col("score") + 1) * (BINS // 2)), F.lit(0)), F.lit(BINS)))
+    low, high = per_score.agg(F.min("score")).scalar(), per_score.agg(F.max("score")).scalar()
+    binned = per_score.withColumn("bin", F.floor(
+        (F.col("score") - low) * F.lit(float(BINS)) / F.when(high > low, high - low).otherwise(F.lit(1.0))))
     before = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = binned.groupBy("bin").agg(F.sum("u").alias("bu"), F.sum("c").alias("bc"))
     bins = bins.select(  # at most BINS + 1 rows in this window and in this broadcast

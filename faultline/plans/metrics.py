@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.plans.views import is_open
 from faultline.schemas import PRIORITIES
 
+BINS = 4096
+
 
 def within(column: str, since: Column, until: Column) -> Column:
     return (F.col(column) > since) & (F.col(column) <= until)
@@ -30,10 +32,30 @@ def breached(current: DataFrame) -> DataFrame:
 
 
 def percentiles(values: DataFrame, column: str, **named: float) -> DataFrame:
-    """Exact interpolated percentiles. Equal values are counted first, in parallel, so what meets in
-    one place is the distinct milliseconds, not the rows."""
-    counted = values.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    return counted.agg(*[F.percentile(column, F.lit(p), F.col("n")).alias(name) for name, p in named.items()])
+    """Exact interpolated percentiles. Equal values are counted first; ranks accumulate over a fixed number of bins of
+    the measured range and then inside each bin, so no task sees all values."""
+    counted = values.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
+    low, high = counted.agg(F.min("v")).scalar(), counted.agg(F.max("v")).scalar()
+    binned = counted.withColumn("bin", F.floor((F.col("v") - low) * F.lit(float(BINS)) / F.greatest(high - low, F.lit(1))))
+    upto = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = binned.groupBy("bin").agg(F.sum("n").alias("bn")).select(  # at most BINS + 1 rows
+        "bin", F.coalesce(F.sum("bn").over(upto), F.lit(0)).alias("n0"),
+        F.sum("bn").over(Window.partitionBy()).alias("total"))
+    inside = Window.partitionBy("bin").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = binned.join(F.broadcast(bins), "bin").select(
+        "v", "n", "total", (F.col("n0") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("first"))
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("first") <= rank) & (rank < F.col("first") + F.col("n")), F.col("v")))
+
+    found = [F.max("total").alias("total")]
+    for name, p in named.items():
+        place = F.lit(p) * (F.col("total") - 1)
+        found += [at(F.floor(place)).alias(f"{name}_low"), at(F.ceil(place)).alias(f"{name}_high")]
+    rows = ranked.agg(*found)
+    shares = {name: F.lit(p) * (F.col("total") - 1) for name, p in named.items()}
+    return rows.select(*[(F.col(f"{name}_low") + (F.col(f"{name}_high") - F.col(f"{name}_low"))
+                          * (place - F.floor(place))).cast("double").alias(name) for name, place in shares.items()])
 
 
 def latency_percentile(incident: DataFrame, p: float, since: Column, until: Column) -> DataFrame:
