@@ -17,8 +17,10 @@ def _geometry(metric: str) -> tuple[str, str]:
 
 
 def build_cells(corpus: DataFrame, vec: str, cells: int, metric: str = "COSINE", seed: int = 7,
-                iterations: int = 10, path: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(corpus + ``cell``, centroids(cell, centroid)), fitted on all rows.
+                iterations: int = 10, path: str | None = None,
+                centroids: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(corpus + ``cell``, centroids(cell, centroid)), fitted on all rows, or placed by given ``centroids``. The pair is
+    an index: built once, it is passed to ``vector_search(..., built=)`` as often as needed.
 
     The corpus is written partitioned by cell, to ``path`` or the shared folder, and read back: an
     index is built once and its readers prune to the cells they need. Rows without a vector, or with
@@ -26,6 +28,13 @@ def build_cells(corpus: DataFrame, vec: str, cells: int, metric: str = "COSINE",
     """
     distance, _ = _geometry(metric)
     usable = F.exists(vec, lambda x: x != 0) if metric == "COSINE" else F.col(vec).isNotNull()
+    if centroids is not None:
+        path = path or run_dir(corpus.sparkSession, "cells")
+        nearest = vs.ResidentIndex(centroids, "centroid", "cell", _geometry(metric)[1], 1)
+        placed = corpus.where(usable).withColumn("__near", nearest.hits(F.col(vec).cast("array<float>")))
+        placed = placed.withColumn("cell", F.col("__near")[0]["id"]).drop("__near")
+        placed.write.mode("overwrite").partitionBy("cell").parquet(path)
+        return corpus.sparkSession.read.schema(placed.schema).parquet(path), centroids
     featured = corpus.where(usable).withColumn("__features", array_to_vector(vec))
     model = KMeans(k=cells, seed=seed, maxIter=iterations, distanceMeasure=distance, featuresCol="__features",
                    predictionCol="cell").fit(featured.select("__features"))
@@ -51,8 +60,10 @@ def routed_hits(routed: DataFrame, placed: DataFrame, metric: str, k: int, cells
     return vs.best(vs.tiled_hits(p, c, metric, k, groups=cells), metric, k)
 
 
-def cell_hits(asked: DataFrame, slim: DataFrame, metric: str, k: int, cells: int, nprobe: int) -> DataFrame:
-    placed, centroids = build_cells(slim, "cv", cells, metric)
+def cell_hits(asked: DataFrame, slim: DataFrame, metric: str, k: int, cells: int, nprobe: int,
+              built: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """Hits through an index (rows ``id, cv, cell``; centroids); without one it is built for this search alone."""
+    placed, centroids = built or build_cells(slim, "cv", cells, metric)
     return routed_hits(route(asked, centroids, "pv", nprobe, metric), placed, metric, k, cells)
 
 

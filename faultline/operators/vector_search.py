@@ -164,6 +164,7 @@ def vector_search(probes: DataFrame, corpus: DataFrame, probe: str, vec: str, k:
                   key: str = "alarm_id", corpus_key: str = "id", strategy: str = "auto",
                   distinct_by: str | None = None, prefix: str = "", payload: list[str] | None = None,
                   index: ResidentIndex | None = None, cells: int = 16, nprobe: int = 4,
+                  built: tuple[DataFrame, DataFrame] | None = None,
                   tile_bytes: int = TILE_BYTES, smallest_tile: int = SMALLEST_TILE) -> DataFrame:
     """Columns of ``probes``, columns of ``corpus``, ``rank``, and ``score`` (DOUBLE) last.
 
@@ -225,7 +226,7 @@ def vector_search(probes: DataFrame, corpus: DataFrame, probe: str, vec: str, k:
                     metric, k)
     elif strategy == "cells":
         from faultline.operators.cells import cell_hits
-        hits = cell_hits(asked, slim, metric, k, cells, nprobe)
+        hits = cell_hits(asked, slim, metric, k, cells, nprobe, built)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     hits = hits.withColumnRenamed("id", "__id").withColumnRenamed("key", unit)

@@ -337,7 +337,20 @@ ORACLES["vs_metric_l2"] = by_probe(stretched=True, k=3, metric="L2")
 ORACLES["vs_prefilter"] = by_probe(k=2, where="category = 'safety'")
 ORACLES["vs_probe_width"] = by_probe()
 ORACLES["vs_blocked"] = by_probe(k=5)
-ORACLES["vs_ann_index"] = by_probe(k=3)
+ORACLES["vs_ann_exhaustive"] = by_probe(k=3)
+ORACLES["vs_ann_index"] = with_(BY_PROBE, PROBES, manual(), """centroids AS (
+  SELECT vec_id AS cell, CAST(embedding AS DOUBLE[]) AS cv FROM embeddings WHERE vec_id < 8),
+placed AS (
+  SELECT id, vec, cell FROM manual CROSS JOIN centroids
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY list_cosine_similarity(CAST(vec AS DOUBLE[]), cv) DESC, cell) = 1),
+routed AS (
+  SELECT probe_id, pv, cell FROM probes CROSS JOIN centroids
+  QUALIFY row_number() OVER (PARTITION BY probe_id ORDER BY list_cosine_similarity(pv, cv) DESC, cell) <= 3),
+hits AS (
+  SELECT probe_id, id, list_cosine_similarity(pv, CAST(vec AS DOUBLE[])) AS score,
+    CAST(row_number() OVER (PARTITION BY probe_id
+      ORDER BY list_cosine_similarity(pv, CAST(vec AS DOUBLE[])) DESC, id) AS INTEGER) AS rank
+  FROM routed JOIN placed USING (cell) QUALIFY rank <= 3)""")
 add("vs_constant_probe", """
 SELECT id, category, severity, round(list_cosine_similarity(CAST(vec AS DOUBLE[]),
     CAST(list_transform(range(64), lambda i: CAST(0.01 AS FLOAT)) AS DOUBLE[])), 6) AS score

@@ -12,7 +12,7 @@ import pytest
 
 SOME = """retrieve_enrich src_json_lenient src_topic_batch_replay snk_corpus_overwrite conform_schema
 corpus_exclusions rule_lookup_first_match ml_predict work_order_parse vs_lateral_left vs_distinct_probes vs_metric_l2
-vs_prefilter vs_blocked vs_ann_index status_log upsert_last_wins incident_current timeline_delta format_delta
+vs_prefilter vs_blocked vs_ann_index vs_ann_exhaustive status_log upsert_last_wins incident_current timeline_delta format_delta
 view_attention dash_p95 dash_latency_series sum_latency audit_summary calibrate_threshold stream_status
 stream_human_actions""".split()
 NAMES = list(entry.queries()) if os.environ.get("FAULTLINE_ALL") else SOME
