@@ -112,7 +112,7 @@ def mutated(rng, words, share):
     return " ".join(w if rng.random() > share else f"new{rng.integers(1 << 30)}" for w in words)
 
 
-@pytest.mark.parametrize("tile", [2048, 16])
+@pytest.mark.parametrize("tile", [1 << 20, 2000])
 def test_minhash_of_a_large_group_of_near_copies(spark, tile, monkeypatch):
     monkeypatch.setattr(minhash, "TILE", tile)
     rng = np.random.default_rng(2)
