@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -25,6 +26,7 @@ BYTE, WORD, PIECE = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "w
 STRANGE = st.text(st.one_of(st.sampled_from(" \n\t'abcSTtherLLé́ΣİǅÅ0٣😀▁<|>"), st.characters(exclude_categories=["Cs"])), max_size=60)
 
 
+@lru_cache
 def whole(path):
     if path.endswith(".model"):
         return sentencepiece.SentencePieceProcessor(model_file=path).encode
