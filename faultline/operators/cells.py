@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultline.operators import vector_search as vs
-from faultline.session import run_dir
+from faultline.session import materialize, run_dir
 
 
 def _geometry(metric: str) -> tuple[str, str]:
@@ -73,3 +73,17 @@ def recall(found: DataFrame, exact: DataFrame, key: str, corpus_key: str = "id")
     seen = found.select(*pairs).withColumn("__seen", F.lit(1))
     return exact.select(*pairs).join(seen, pairs, "left").agg(
         (F.count("__seen") / F.count("*")).alias("recall"))
+
+
+def enough_cells(asked: DataFrame, placed: DataFrame, centroids: DataFrame, metric: str, k: int, cells: int,
+                 least: float = 0.9) -> tuple[int, float]:
+    """(fewest visited cells, recall@k) of an index whose recall over all of ``asked`` is measured to be at least
+    ``least``, against every row that the index holds."""
+    exact = materialize(vs.best(vs.tiled_hits(asked, placed.select("id", "cv"), metric, k), metric, k), "exact")
+    reached = 0.0
+    for nprobe in range(1, cells + 1):
+        found = routed_hits(route(asked, centroids, "pv", nprobe, metric), placed, metric, k, cells)
+        reached = recall(found, exact, "key").first().recall
+        if reached is None or reached >= least:
+            return nprobe, reached
+    raise ValueError(f"recall {reached} in all {cells} cells, below {least}")

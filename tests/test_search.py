@@ -228,3 +228,21 @@ def test_repeated_keys_have_their_own_hits_under_every_strategy(spark, k):
     got = [sorted((r.alarm_id, str(r.p), r.id or 0, r["rank"] or 0, round(r.score or 0, 6)) for r in vector_search(
         probes, corpus, "p", "v", k=k, how="left", strategy=s, cells=2, nprobe=2).collect()) for s in ("resident", "blocked", "cells")]
     assert got[0] == got[1] == got[2] and len(got[0]) == 4 * k + 1
+
+
+def test_visited_cells_of_a_fitted_index_follow_from_its_measured_recall(spark, sf):
+    from faultline.sources import tables
+    rows = tables.manual(spark, sf).select("id", F.col("vec").alias("cv"))
+    asked = tables.probes(spark, sf).select(F.col("probe_id").alias("key"), F.col("alarm_vector").alias("pv"))
+    placed, centroids = cells.build_cells(rows, "cv", 8)
+    nprobe, reached = cells.enough_cells(asked, placed, centroids, "COSINE", 3, 8)
+    corpus = {r.id: r.cv for r in rows.collect()}
+    want = naive({r.key: r.pv for r in asked.collect()}, corpus, "COSINE", 3)
+
+    def share(visited):
+        got = collected(vector_search(asked, rows, "pv", "cv", k=3, key="key", strategy="cells", cells=8,
+                                      nprobe=visited, built=(placed, centroids)), "key")
+        return sum(len({i for i, _ in want[k]} & {i for i, _ in got.get(k, [])}) for k in want) / sum(map(len, want.values()))
+
+    assert 1 < nprobe < 8 and reached >= 0.9 > share(nprobe - 1)
+    assert share(nprobe) == pytest.approx(reached)
