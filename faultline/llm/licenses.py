@@ -6,6 +6,11 @@ subsequence is taken; the gaps between anchors are aligned the same way. The cov
 that are matched. Texts are aligned in windows of twice the template's length, each half a window further, so that words
 that are frequent in a long text can be unique where it matters, and a text that repeats a notice is found as well.
 
+Coverage alone does not tell licenses apart, so a stretch must agree with the template in its marks as well. In a template of
+up to ``SHORT`` words these are all words but ``FILLERS``: the stretch must hold just these, in order, nothing inserted. In a
+longer one they are ``NAMES`` and the number after "version": those of the template must be matched, and no other may stand
+in the stretch; other words may be missing or inserted.
+
 Only texts that hold enough words of a template to reach ``LEAST`` are aligned at all; the count of common words is an
 upper bound of the coverage, so nothing is lost by it. It is taken for a whole batch from its distinct chunks. Rows stay
 where they are read: no shuffle.
@@ -29,7 +34,12 @@ from pyspark.sql import functions as F
 from faultline.llm.chunks import by_bytes, parts_of
 
 LEAST = 0.8
+SHORT = 20
 SLICE_BYTES = 8 << 20
+#: Words of a short notice that tell nothing about the license (fixed values).
+FILLERS = frozenset("a an the this is are of under terms licensed released work version v".split())
+#: Words that licenses of almost the same text differ by (fixed values).
+NAMES = frozenset("apache mozilla lesser affero endorse included appear".split())
 find_words = re.compile(r"[^\W_]+").findall
 each_word = re.compile(r"[^\W_]+").finditer
 
@@ -105,6 +115,31 @@ def align(text: list[str], template: list[str]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def marks(words: list[str]) -> list[tuple[int, str]]:
+    """Positions and names of the words of a long text that tell licenses apart."""
+    out = []
+    for n, (before, word) in enumerate(zip(["", *words], words, strict=False)):
+        if word in NAMES:
+            out.append((n, word))
+        elif word.isdigit() and before in ("version", "v"):
+            out.append((n, f"version {word}"))
+        elif word == "library" and before == "gnu":
+            out.append((n, "gnu library"))
+    return out
+
+
+def same_license(text: list[str], template: list[str], pairs: list[tuple[int, int]]) -> bool:
+    """Whether the matched stretch agrees with the template in the words that tell licenses apart."""
+    stretch = text[pairs[0][0]:pairs[-1][0] + 1]
+    if len(template) <= SHORT:
+        return [w for w in stretch if w not in FILLERS] == [w for w in template if w not in FILLERS]
+    matched = {j for _, j in pairs}
+    named = marks(template)
+    held = {name for n, name in named if n in matched}
+    names = {name for _, name in named}
+    return held == names and {name for _, name in marks(stretch)} <= names | {"included", "appear"}
+
+
 def best_stretch(words: list[str], template: list[str], least: float = LEAST) -> tuple[float, int, int] | None:
     """(coverage, first word, last word) of the first window that covers most of the template, if it is enough."""
     size, needed, best = 2 * len(template), least * len(template), None
@@ -114,7 +149,7 @@ def best_stretch(words: list[str], template: list[str], least: float = LEAST) ->
         if sum((Counter(w for w in window if w in wanted) & wanted).values()) < needed:
             continue
         pairs = align(window, template)
-        if len(pairs) >= needed and (best is None or len(pairs) > best[0]):
+        if len(pairs) >= needed and (best is None or len(pairs) > best[0]) and same_license(window, template, pairs):
             best = (len(pairs), start + pairs[0][0], start + pairs[-1][0])
     return (best[0] / len(template), best[1], best[2]) if best else None
 

@@ -202,3 +202,22 @@ def test_license_edges(spark, odd, none):
     assert scan_licenses(odd).count() == 0 and scan_licenses(none).count() == 0
     with pytest.raises(ValueError):
         scan_licenses(rows, {"x": "..."})
+
+
+def test_near_misses_are_other_licenses(spark):
+    gpl = TEMPLATES["gpl-3.0-header"]
+    wrong = ["Released under the BSD License.", "Licensed under CC BY 4.0.", "Licensed under CC BY-SA 4.0.", "Licensed under CC BY-NC-SA 4.0.",
+             "Licensed under CC BY-NC 3.0.", "Licensed under the Apache License, Version 1.1.", "Released under the MIT-0 License.",
+             "This work is licensed under the GNU General Public License, version 2.",
+             "This work is licensed under the GNU Lesser General Public License, version 3.",
+             "This work is licensed under the GNU Affero General Public License, version 3.",
+             gpl.replace("version 3", "version 2"), gpl.replace("GNU", "GNU Lesser"), gpl.replace("GNU", "GNU Affero"),
+             gpl.replace("GNU", "GNU Library")]
+    right = [("mit", "Released under MIT License"), ("apache-2.0", "licensed under Apache License, Version 2.0"), ("cc-by-nc-4.0", "under CC-BY-NC-4.0"),
+             ("gpl-3.0", "The work is licensed under the terms of the GNU General Public License version 3."),
+             ("gpl-3.0-header", gpl.replace("This program", "Some tool").replace("redistribute", "copy"))]
+    names = {"mit", "apache-2.0", "cc-by-nc-4.0", "gpl-3.0", "gpl-3.0-header"}
+    rows = spark.createDataFrame(list(enumerate([f"some words before. {t} and after" for t in [*wrong, *[t for _, t in right]]])),
+                                 "doc_id bigint, text string")
+    got = {(r["doc_id"], r["license"]) for r in scan_licenses(rows).collect() if r["license"] in names}
+    assert got == {(n, name) for n, (name, _) in enumerate(right, len(wrong))}
