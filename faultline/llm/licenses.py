@@ -3,8 +3,10 @@
 A template is a sequence of words. A stretch of text is aligned with it like this: equal words at both ends are matched;
 words that are unique in the stretch and in the template are anchors; of their positions the longest increasing
 subsequence is taken; the gaps between anchors are aligned the same way. The coverage is the share of the template's words
-that are matched. Texts are aligned in windows of twice the template's length, each half a window further, so that words
-that are frequent in a long text can be unique where it matters, and a text that repeats a notice is found as well.
+that are matched. Texts are aligned in windows of three lengths, so that words that are frequent in a long text can be
+unique where it matters: a notice of L words lies whole in a window of 5/4 L words when nothing is inserted, in one of 2 L
+words when it is spread over up to 3/2 L, and in one of 3 L words up to 5/2 L, wherever it begins; a notice spread wider is
+found only by the part of it that lies within a window. Every stretch that does not overlap a better one is reported.
 
 Coverage alone does not tell licenses apart, so a stretch must agree with the template in its marks as well. In a template of
 up to ``SHORT`` words these are all words but ``FILLERS``: the stretch must hold just these, in order, nothing inserted. In a
@@ -12,12 +14,12 @@ longer one they are ``NAMES`` and the number after "version": those of the templ
 in the stretch; other words may be missing or inserted.
 
 Only texts that hold enough words of a template to reach ``LEAST`` are aligned at all; the count of common words is an
-upper bound of the coverage, so nothing is lost by it. It is taken for a whole batch from its distinct chunks. Rows stay
+upper bound of the coverage, so nothing is lost by that. It is taken for a whole batch from its distinct chunks. Rows stay
 where they are read: no shuffle.
 
 Cases: a NULL or empty text matches nothing; a template without words is refused; repeated rows are reported each; an empty
-table gives an empty result; very long texts are aligned window by window; ties in coverage go to the first stretch; other
-columns are not read.
+table gives an empty result; very long texts are aligned window by window; overlapping stretches of equal coverage go to
+the shorter, then the first one; other columns are not read.
 """
 
 from __future__ import annotations
@@ -140,23 +142,38 @@ def same_license(text: list[str], template: list[str], pairs: list[tuple[int, in
     return held == names and {name for _, name in marks(stretch)} <= names | {"included", "appear"}
 
 
+def stretches(words: list[str], template: list[str], least: float = LEAST) -> list[tuple[float, int, int]]:
+    """(coverage, first word, last word) of every stretch that covers enough of the template, in order. Of stretches that
+    overlap, the one that covers more stays, then the shorter one, then the first one."""
+    length, needed, wanted = len(template), least * len(template), Counter(template)
+    at = np.array([n for n, w in enumerate(words) if w in wanted], np.int64)
+    found = set()
+    for size, step in ((length + max(1, length // 4), length // 4), (2 * length, length // 2), (3 * length, length // 2)):
+        starts = np.arange(0, max(1, len(words)), max(1, step))
+        many = np.searchsorted(at, starts + size) - np.searchsorted(at, starts)
+        for start in starts[many >= needed].tolist():
+            window = words[start:start + size]
+            if sum((Counter(w for w in window if w in wanted) & wanted).values()) < needed:
+                continue
+            pairs = align(window, template)
+            if len(pairs) >= needed and same_license(window, template, pairs):
+                found.add((-len(pairs), pairs[-1][0] - pairs[0][0], start + pairs[0][0]))
+    kept = []
+    for many, more, first in sorted(found):
+        place = bisect_left(kept, (first,))
+        if (place == 0 or kept[place - 1][1] < first) and (place == len(kept) or first + more < kept[place][0]):
+            kept.insert(place, (first, first + more, -many / length))
+    return [(coverage, first, last) for first, last, coverage in kept]
+
+
 def best_stretch(words: list[str], template: list[str], least: float = LEAST) -> tuple[float, int, int] | None:
-    """(coverage, first word, last word) of the first window that covers most of the template, if it is enough."""
-    size, needed, best = 2 * len(template), least * len(template), None
-    wanted = Counter(template)
-    for start in range(0, max(1, len(words)), len(template)):
-        window = words[start:start + size]
-        if sum((Counter(w for w in window if w in wanted) & wanted).values()) < needed:
-            continue
-        pairs = align(window, template)
-        if len(pairs) >= needed and (best is None or len(pairs) > best[0]) and same_license(window, template, pairs):
-            best = (len(pairs), start + pairs[0][0], start + pairs[-1][0])
-    return (best[0] / len(template), best[1], best[2]) if best else None
+    """The first of the stretches that cover most of the template."""
+    return max(stretches(words, template, least), key=lambda s: s[0], default=None)
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST, text: str = "text",
                   key: str = "doc_id") -> DataFrame:
-    """``doc_id, license, coverage, first_char, end_char`` of every document and template that is covered enough;
+    """``doc_id, license, coverage, first_char, end_char`` of every stretch of a document that covers a template enough;
     positions are code points of the aligned stretch, the end exclusive."""
     sequences = {name: find_words(body.lower()) for name, body in (templates or TEMPLATES).items()}
     if not all(sequences.values()):
@@ -187,9 +204,8 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, leas
                     spans = [(m[0].lower(), m.start(), m.end()) for m in each_word(rows.column(1)[n].as_py())]
                     words = [w for w, _, _ in spans]
                     for k, (name, template) in enumerate(sequences.items()):
-                        got = best_stretch(words, template, least) if may[n, k] else None
-                        if got:
-                            out.append((rows.column(0)[n].as_py(), name, got[0], spans[got[1]][1], spans[got[2]][2]))
+                        for coverage, first, last in stretches(words, template, least) if may[n, k] else ():
+                            out.append((rows.column(0)[n].as_py(), name, coverage, spans[first][1], spans[last][2]))
                 columns = list(zip(*out, strict=True)) if out else [[]] * 5
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
 

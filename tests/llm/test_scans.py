@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from faultline.llm import queries
 from faultline.llm.fingerprints import as_string, gram_hashes, neighbours, winnow
-from faultline.llm.licenses import TEMPLATES, align, best_stretch, find_words, scan_licenses
+from faultline.llm.licenses import TEMPLATES, align, best_stretch, find_words, scan_licenses, stretches
 from faultline.llm.secrets import BASE, RULES, SQL, Rule, masked, read_ledger, scan, secret_report
 from faultline.llm.toxicity import Model, fit, keep_clean, learn, score
 from faultline.session import run_dir
@@ -221,3 +221,39 @@ def test_near_misses_are_other_licenses(spark):
                                  "doc_id bigint, text string")
     got = {(r["doc_id"], r["license"]) for r in scan_licenses(rows).collect() if r["license"] in names}
     assert got == {(n, name) for n, (name, _) in enumerate(right, len(wrong))}
+
+
+def common(text, template):
+    """Length of the longest common subsequence, over the whole text at once."""
+    row = [0] * (len(template) + 1)
+    for word in text:
+        before = row[:]
+        for n, other in enumerate(template, 1):
+            row[n] = before[n - 1] + 1 if word == other else max(before[n], row[n - 1])
+    return row[-1]
+
+
+@pytest.mark.parametrize("spread", [1.0, 1.4, 1.7, 2.0, 2.3])
+def test_a_notice_is_found_wherever_it_begins(spread):
+    template = find_words(TEMPLATES["mit-text"].lower())
+    size = len(template)
+    body = [f"x{n}" for n in range(int(spread * size))]
+    places = sorted({int(n * (len(body) - 1) / (size - 1)) for n in range(size)})
+    assert len(places) == size
+    for place, word in zip(places, template, strict=True):
+        body[place] = word
+    for start in (0, size // 3, size // 2, size // 2 + 7, size, 3 * size // 2, 2 * size + 11):
+        text = ["the", "software"] * (start // 2) + ["y"] * (start % 2) + body + ["of", "any", "copy"] * size
+        assert common(text, template) == size
+        assert [s[0] for s in stretches(text, template)] == [1.0], (spread, start)
+
+
+def test_every_copy_is_reported(spark):
+    short, long = TEMPLATES["mit"], TEMPLATES["mit-text"]
+    text = f"{short} {short} and some words. {long} {long} more words {short} end {long[:60]} {long}"
+    rows = scan_licenses(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).collect()
+    for name, body in (("mit", short), ("mit-text", long)):
+        want = [m.start() for m in re.finditer(re.escape(body), text)]
+        assert len(want) == 3
+        assert [(r["first_char"], r["end_char"], r["coverage"]) for r in rows if r["license"] == name] == [
+            (at, at + len(body) - 1, 1.0) for at in want]
