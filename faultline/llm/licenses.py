@@ -41,11 +41,40 @@ SLICE_BYTES = 8 << 20
 #: Words of a short notice that tell nothing about the license (fixed values).
 FILLERS = frozenset("a an the this is are of under terms licensed released work version v".split())
 #: Words that licenses of almost the same text differ by (fixed values).
-NAMES = frozenset("apache mozilla lesser affero endorse included appear".split())
+NAMES = frozenset("apache mozilla lesser affero endorse advertising included appear".split())
 find_words = re.compile(r"[^\W_]+").findall
 each_word = re.compile(r"[^\W_]+").finditer
 
-#: Notices and permission texts in public use (fixed values).
+GNU_HEADER = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published by "
+    "the Free Software Foundation, either version {} of the License, or (at your option) any later version. This program is "
+    "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+    "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {} for more details. You should have received a copy of "
+    "the GNU {} along with this program. If not, see <https://www.gnu.org/licenses/>.")
+BSD_CONDITIONS = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this "
+    "list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution. ")
+BSD_THIRD = (
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission. ")
+BSD_DISCLAIMER = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; "
+    "LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN "
+    "CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+    "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+
+
+def gnu_header(name: str, version: str) -> str:
+    return GNU_HEADER.format(name, version, name, name)
+
+
+#: Whole notices and permission texts in public use (fixed values).
 TEMPLATES = {
     "apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "apache-2.0-header": (
@@ -61,17 +90,36 @@ TEMPLATES = {
         "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
         "permit persons to whom the Software is furnished to do so, subject to the following conditions: The above "
         "copyright notice and this permission notice shall be included in all copies or substantial portions of the "
-        "Software."),
+        "Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT "
+        "LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT "
+        "SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+        "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN "
+        "THE SOFTWARE."),
+    "isc-text": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS "
+        "PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, "
+        "OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION "
+        "OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF "
+        "THIS SOFTWARE."),
+    "gpl-2.0-header": gnu_header("General Public License", "2"),
     "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "gpl-3.0-header": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
-        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
-        "later version."),
+    "gpl-3.0-header": gnu_header("General Public License", "3"),
+    "lgpl-2.1-header": gnu_header("Lesser General Public License", "2.1"),
+    "lgpl-3.0-header": gnu_header("Lesser General Public License", "3"),
+    "agpl-3.0-header": gnu_header("Affero General Public License", "3"),
+    "mpl-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    "cc-by-4.0": "Licensed under CC BY 4.0.",
+    "cc-by-sa-4.0": "Licensed under CC BY-SA 4.0.",
+    "cc-by-nd-4.0": "Licensed under CC BY-ND 4.0.",
     "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
-    "bsd": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
-        "following conditions are met: Redistributions of source code must retain the above copyright notice, this list "
-        "of conditions and the following disclaimer."),
+    "cc-by-nc-sa-4.0": "Licensed under CC BY-NC-SA 4.0.",
+    "cc-by-nc-nd-4.0": "Licensed under CC BY-NC-ND 4.0.",
+    "bsd-2-clause": BSD_CONDITIONS + BSD_DISCLAIMER,
+    "bsd-3-clause": BSD_CONDITIONS + BSD_THIRD + BSD_DISCLAIMER,
 }
 
 

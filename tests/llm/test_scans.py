@@ -233,9 +233,11 @@ def common(text, template):
     return row[-1]
 
 
+@pytest.mark.parametrize("last, least", [("THE SOFTWARE IS", 1.0), ("(whole)", 0.95)])
 @pytest.mark.parametrize("spread", [1.0, 1.4, 1.7, 2.0, 2.3])
-def test_a_notice_is_found_wherever_it_begins(spread):
-    template = find_words(TEMPLATES["mit-text"].lower())
+def test_a_notice_is_found_wherever_it_begins(spread, last, least):
+    """The first paragraph whole; of the whole text, whose last words stand in the noise as well, some of those may go."""
+    template = find_words(TEMPLATES["mit-text"].split(last)[0].lower())
     size = len(template)
     body = [f"x{n}" for n in range(int(spread * size))]
     places = sorted({int(n * (len(body) - 1) / (size - 1)) for n in range(size)})
@@ -245,7 +247,8 @@ def test_a_notice_is_found_wherever_it_begins(spread):
     for start in (0, size // 3, size // 2, size // 2 + 7, size, 3 * size // 2, 2 * size + 11):
         text = ["the", "software"] * (start // 2) + ["y"] * (start % 2) + body + ["of", "any", "copy"] * size
         assert common(text, template) == size
-        assert [s[0] for s in stretches(text, template)] == [1.0], (spread, start)
+        found = [s[0] for s in stretches(text, template)]
+        assert len(found) == 1 and found[0] >= least, (spread, start)
 
 
 def test_every_copy_is_reported(spark):
@@ -257,3 +260,15 @@ def test_every_copy_is_reported(spark):
         assert len(want) == 3
         assert [(r["first_char"], r["end_char"], r["coverage"]) for r in rows if r["license"] == name] == [
             (at, at + len(body) - 1, 1.0) for at in want]
+
+
+def test_whole_notices_are_found_as_themselves_only(spark):
+    longer = {name: body for name, body in TEMPLATES.items() if len(find_words(body)) > 20}
+    assert {"mpl-2.0-header", "agpl-3.0-header", "isc-text", "bsd-2-clause", "bsd-3-clause"} <= set(longer)
+    cut = {"mit-text": "THE SOFTWARE IS PROVIDED", "bsd-2-clause": "Redistributions in binary", "gpl-3.0-header": "This program is distributed"}
+    texts = [f"Copyright 2020 by someone. {body} And so on." for body in TEMPLATES.values()]
+    texts += [longer[name][:longer[name].index(end)] for name, end in cut.items()]
+    rows = scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    got = {(r["doc_id"], r["license"]) for r in rows}
+    header = list(TEMPLATES).index("apache-2.0-header")
+    assert got == {*enumerate(TEMPLATES), (header, "apache-2.0")} and all(r["coverage"] == 1.0 for r in rows)
