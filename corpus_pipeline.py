@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from faultline.llm.minhash import near_duplicates
 from faultline.llm.packing import pack_documents
-from faultline.llm.secrets import masked, scan
+from faultline.llm.secrets import MASKED, masked, scan
 from faultline.llm.tables import table, vocabulary
 from faultline.llm.toxicity import keep_clean, learn
 from faultline.session import materialize, run_dir
@@ -36,9 +36,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with every secret replaced by a mark; the length follows the text."""
+    """Documents with every secret replaced by a mark, private keys with their body; the length follows the text."""
     names = docs.columns
-    found = scan(docs.select(F.struct(*names).alias("__document"), F.col("text").alias("text")), run_dir(spark, "ledger"))
+    found = scan(docs.select(F.struct(*names).alias("__document"), F.col("text").alias("text")), run_dir(spark, "ledger"),
+                 rules=MASKED)
     held = F.array_size("found") > 0
     text = masked(F.col("__document.text"), F.col("found"))
     out = found.select(*[F.col(f"__document.`{name}`") for name in names], held.alias("__held"), text.alias("__text"))

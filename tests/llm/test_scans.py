@@ -272,3 +272,25 @@ def test_whole_notices_are_found_as_themselves_only(spark):
     got = {(r["doc_id"], r["license"]) for r in rows}
     header = list(TEMPLATES).index("apache-2.0-header")
     assert got == {*enumerate(TEMPLATES), (header, "apache-2.0")} and all(r["coverage"] == 1.0 for r in rows)
+
+
+def test_masking_takes_private_keys_whole(spark):
+    from corpus_pipeline import mask_secrets
+    lines = ["MIIEpAIBAAKCAQEA" + "aB3+/xYz" * 6] * 2000 + ["Zm9vYmFyQmF6cXV4Zm9v", "aBc9dw=="]
+    top, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF\n\n"
+    body, small = "\n".join(lines), "\n".join(lines[:3] + ["aBc9dwQ"])
+    whole = {f"{top}\n{body}\n{end}": "", f"{top}\r\n{head}{body}\n{end}": "", f"{top} {small} {end}": "",
+             '"' + f"{top}\n{small}\n{end}".replace("\n", "\\n") + '"': '""', f"> {top}\n> " + small.replace("\n", "\n> ") + f"\n> {end}": "> ",
+             f"{top}\n{body}": "", f"{top}\n{head}{small}": "", f"{top}\n{small}\n": "\n", f"{top}{end}": ""}
+    texts = [f"before\n{t}" for t in whole] + [f"{t}\nand plain words stay" for t in whole]
+    marks = [f"before\n{m[:1]}[SECRET]{m[1:]}" if m == '""' else f"before\n> [SECRET]" if m == "> " else f"before\n[SECRET]{m}" for m in whole.values()]
+    marks += [(m[:1] + "[SECRET]" + m[1:] if m == '""' else "> [SECRET]" if m == "> " else "[SECRET]" + m) + "\nand plain words stay"
+              for m in whole.values()]
+    two = f"{top} only named here, then prose - with dashes. {top}\n{small}\n{end} after"
+    texts += [two, f"{top} and {top}"]
+    marks += ["[SECRET] only named here, then prose - with dashes. [SECRET] after", "[SECRET] and [SECRET]"]
+    docs = spark.createDataFrame([(n, t, len(t)) for n, t in enumerate(texts)], "doc_id bigint, text string, n_chars bigint")
+    got = {r["doc_id"]: r for r in mask_secrets(spark, docs, "").collect()}
+    for n, want in enumerate(marks):
+        assert (got[n]["text"], got[n]["n_chars"]) == (want, len(want)), n
