@@ -24,18 +24,20 @@ empty result; other columns are not read by ``score`` and kept by ``keep_clean``
 from __future__ import annotations
 
 import re
+from array import array
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.chunks import by_bytes, parts_of
+from faultline.llm.chunks import by_bytes, gather, parts_of
 from faultline.session import materialize
 
 SAMPLE = 12_000
+SLICE_BYTES = 4 << 20
 FEATURES = 4096
 LEAST_G = 15.0
 OPENINGS = (4, 5, 6)
@@ -74,17 +76,24 @@ def part_features(parts: list[str], swap: bool = False) -> list[list[str]]:
 
 
 def present(texts: pa.Array, known: dict[str, int], swap: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """(row, feature) pairs of ``texts``, each once, sorted; features are numbered by ``known``."""
+    """(row, feature) pairs of ``texts``, each once, sorted; features are numbered by ``known``. Each distinct word is
+    looked up once and everything after that is integers, so memory follows the bytes of ``texts``."""
     parts, index, first = parts_of(texts.cast(pa.string()), False)
-    found = [[known[f] for f in fs if f in known] for fs in part_features(parts.to_pylist(), swap)]
-    sizes = np.array([len(f) for f in found], np.int64)
     row = np.repeat(np.arange(len(texts)), np.diff(first))
-    hit = np.flatnonzero(sizes[index] > 0)
-    pairs = [(row[i], f) for i in hit.tolist() for f in found[index[i]]]
-    if not pairs:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    coded = np.unique(np.array([r * len(known) + f for r, f in pairs], np.int64))
-    return coded // len(known), coded % len(known)
+    held = np.unique(row * max(1, len(parts)) + index)  # a part counts once per text
+    row, index = np.divmod(held, max(1, len(parts)))
+    flat, offsets, of_word = array("i"), np.zeros(len(parts) + 1, np.int64), {}
+    for n, part in enumerate(parts.to_pylist()):
+        for word in find_words(part.lower()):
+            ids = of_word.get(word)
+            if ids is None:
+                taken = SWAP.get(word, word) if swap else word
+                ids = of_word[word] = tuple([known[f] for f in features_of(taken) if f in known])
+            flat.extend(ids)
+        offsets[n + 1] = len(flat)
+    feature, _ = gather(np.frombuffer(flat, np.int32) if flat else np.zeros(0, np.int32), offsets, index)
+    coded = np.unique(np.repeat(row, np.diff(offsets)[index]) * max(1, len(known)) + feature)
+    return np.divmod(coded, max(1, len(known)))
 
 
 @dataclass
@@ -206,7 +215,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id"
 
     def run(batches):
         for batch in batches:
-            for rows in by_bytes(batch, "text"):
+            for rows in by_bytes(batch, "text", SLICE_BYTES):
                 yield pa.record_batch([rows.column(0), pa.array(model.scores(rows.column(1)))], names=["doc_id", "score"])
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -217,9 +226,13 @@ def score(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id"
 
 def keep_clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows of ``docs`` with a score under 0.5, all columns kept. Rows are judged where they lie, one by one, so
-    repeated ids cannot meet."""
-    def judge(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.scores(pa.array(texts, pa.string())))
+    repeated ids cannot meet; whole rows stay in Arrow and are filtered by a mask, a few megabytes of text at a time."""
+    at = docs.columns.index(text)
 
-    body = F.coalesce(F.col(text), F.lit(""))
-    return docs.filter(F.pandas_udf(judge, "double")(body) < 0.5)
+    def judge(batches):
+        for batch in batches:
+            for rows in by_bytes(batch, text, SLICE_BYTES):
+                clean = model.scores(pc.fill_null(rows.column(at), "")) < 0.5
+                yield rows.filter(pa.array(clean))
+
+    return docs.mapInArrow(judge, docs.schema)
