@@ -16,6 +16,7 @@ from faultline.llm.token_counts import token_counts
 from faultline.llm.token_files import read_tokens, write_tokens
 from faultline.llm.toxicity import learn, score
 from faultline.llm.transducer import code_texts
+from faultline.llm.whitening import whitened_rows
 from faultline.session import run_dir
 
 
@@ -62,6 +63,10 @@ def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened_rows(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_token_files": token_files,
     "op2_fingerprints": fingerprints,
@@ -73,5 +78,6 @@ QUERIES = {
     "op8_toxicity": toxicity,
     "op9_token_counts": counts,
     "op10_licenses": licenses,
+    "op11_whitening": whitening,
 }
 ORACLES: dict[str, str] = {"op5_secrets": SECRETS_SQL}
