@@ -11,6 +11,7 @@ from faultline.llm.minhash import near_duplicates
 from faultline.llm.packing import pack_documents
 from faultline.llm.secrets import SQL as SECRETS_SQL
 from faultline.llm.secrets import secret_report
+from faultline.llm.spelling import spelling_variants, word_counts
 from faultline.llm.tables import table, vocabulary
 from faultline.llm.token_counts import token_counts
 from faultline.llm.token_files import read_tokens, write_tokens
@@ -67,6 +68,10 @@ def whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened_rows(table(spark, sf_dir, "embeddings"))
 
 
+def spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(word_counts(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_token_files": token_files,
     "op2_fingerprints": fingerprints,
@@ -79,5 +84,6 @@ QUERIES = {
     "op9_token_counts": counts,
     "op10_licenses": licenses,
     "op11_whitening": whitening,
+    "op12_spelling": spelling,
 }
 ORACLES: dict[str, str] = {"op5_secrets": SECRETS_SQL}
