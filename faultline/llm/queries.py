@@ -9,6 +9,7 @@ from faultline.llm.licenses import scan_licenses
 from faultline.llm.metric_join import near_vectors
 from faultline.llm.minhash import near_duplicates
 from faultline.llm.packing import pack_documents
+from faultline.llm.quality import quality_report
 from faultline.llm.secrets import SQL as SECRETS_SQL
 from faultline.llm.secrets import secret_report
 from faultline.llm.spelling import spelling_variants, word_counts
@@ -72,6 +73,11 @@ def spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(word_counts(table(spark, sf_dir, "documents")))
 
 
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+
+
 QUERIES = {
     "op1_token_files": token_files,
     "op2_fingerprints": fingerprints,
@@ -85,5 +91,6 @@ QUERIES = {
     "op10_licenses": licenses,
     "op11_whitening": whitening,
     "op12_spelling": spelling,
+    "op13_quality": quality,
 }
 ORACLES: dict[str, str] = {"op5_secrets": SECRETS_SQL}
