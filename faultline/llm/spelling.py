@@ -14,7 +14,8 @@ Method. A word is written between two end marks. Grams are 2 to ``LONGEST`` char
    at any place of a word can touch is that word's bound; both words share all others.
 4. *Merging.* Of two near words each must share one of its (bound + 1) rarest grams with the other, at the same place or
    one next to it: only those are posted, under gram, length and place. Words that meet are merged over their whole gram
-   lists, and pairs that share fewer grams than both bounds allow are dropped.
+   lists, and pairs that share fewer grams than both bounds allow are dropped. A mark of 64 bits per word, one bit for the
+   hash of each gram, comes first: every bit that the other word lacks is a gram that it lacks.
 5. *Verification* by edit distance in code points.
 
 A word of at least 2 ``LONGEST`` characters, end marks included, always keeps a shared gram: the first and the last one
@@ -33,6 +34,7 @@ code-point order is the form; other columns are not read.
 from __future__ import annotations
 
 from collections import Counter
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +46,7 @@ from faultline.session import materialize
 RUN = "[A-Za-zÀ-ÿ]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LEAST_CHARS, LEAST_COUNT, TIMES = 6, 5, 5
-SHORTEST, LONGEST, PARENTS = 2, 4, 2048
+SHORTEST, LONGEST, PARENTS = 2, 4, 16384
 OPEN, CLOSE = "\x02", "\x03"
 
 
@@ -140,7 +142,8 @@ class Grams:
 
 
 def postings(words: DataFrame, dictionary: set[str], longest: int = LONGEST) -> DataFrame:
-    """Per word ``word, chars, grams`` (each with the number of its repetition), ``touched`` and ``places`` of all grams."""
+    """Per word ``word, chars``, its ``grams`` and their ``places``, ``named`` (each gram with the number of its repetition),
+    ``mark`` (bits of its grams) and ``touched``."""
 
     def cut(batches):
         index = Grams(dictionary, longest)
@@ -153,26 +156,32 @@ def postings(words: DataFrame, dictionary: set[str], longest: int = LONGEST) ->
                 for _, gram in split:
                     named.append(f"{gram}{seen[gram]}")
                     seen[gram] += 1
-                rows.append((word, len(word), [g for _, g in split], [p for p, _ in split], named, index.touched(split, word)))
-            columns = list(zip(*rows, strict=True)) or [()] * 6
-            kinds = [pa.string(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.string()), pa.int32()]
+                grams = [g for _, g in split]
+                bits = 0
+                for gram in grams:
+                    bits |= 1 << crc32(gram.encode()) % 64
+                rows.append((word, len(word), grams, [p for p, _ in split], named, bits - (bits >> 63 << 64),
+                             index.touched(split, word)))
+            columns = list(zip(*rows, strict=True)) or [()] * 7
+            kinds = [pa.string(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.string()), pa.int64(),
+                     pa.int32()]
             yield pa.record_batch([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)],
-                                  names=["word", "chars", "grams", "places", "named", "touched"])
+                                  names=["word", "chars", "grams", "places", "named", "mark", "touched"])
 
-    return words.select("word").mapInArrow(
-        cut, "word string, chars int, grams array<string>, places array<int>, named array<string>, touched int")
+    return words.select("word").mapInArrow(cut, "word string, chars int, grams array<string>, places array<int>, "
+                                                "named array<string>, mark bigint, touched int")
 
 
 def rare_grams(lists: DataFrame) -> DataFrame:
-    """``word, chars, named, touched, gram, place`` of each word's (touched + 1) rarest grams."""
+    """``word, chars, named, mark, touched, gram, place`` of each word's (touched + 1) rarest grams."""
     each = lists.select("word", F.posexplode("grams").alias("nth", "gram"), "places")
     each = each.select("word", "gram", F.get("places", F.col("nth")).alias("place"))
     frequency = each.groupBy("gram").agg(F.count("*").alias("f"))
     ranked = each.join(frequency, "gram").groupBy("word").agg(F.array_sort(F.collect_list(F.struct("f", "gram", "place"))).alias(
         "ranked"))  # a word's own grams: as many as it has characters, at most
     chosen = lists.join(ranked, "word").select(
-        "word", "chars", "named", "touched", F.explode(F.slice("ranked", F.lit(1), F.col("touched") + 1)).alias("g"))
-    return chosen.select("word", "chars", "named", "touched", "g.gram", "g.place")
+        "word", "chars", "named", "mark", "touched", F.explode(F.slice("ranked", F.lit(1), F.col("touched") + 1)).alias("g"))
+    return chosen.select("word", "chars", "named", "mark", "touched", "g.gram", "g.place")
 
 
 def near_words(words: DataFrame, longest: int = LONGEST, parents: int = PARENTS,
@@ -186,15 +195,21 @@ def near_words(words: DataFrame, longest: int = LONGEST, parents: int = PARENTS,
     # as long: the same place; one longer: the same place, or one on
     place = F.explode(F.expr("array(named_struct('more', 0, 'by', 0), named_struct('more', 1, 'by', 0), "
                              "named_struct('more', 1, 'by', 1))"))
-    asked = rare.select(F.col("word").alias("a"), F.col("named").alias("a_named"), "gram",
-                        (F.size("named") - F.col("touched")).alias("a_least"), "chars", "place", place.alias("to")).select(
-        "a", "a_named", "a_least", "gram", (F.col("chars") + F.col("to.more")).alias("chars"),
+    asked = rare.select(
+        F.col("word").alias("a"), F.col("named").alias("a_named"), F.col("mark").alias("a_mark"), "gram",
+        F.col("touched").alias("a_touched"), F.size("named").alias("a_grams"), "chars", "place", place.alias("to")).select(
+        "a", "a_named", "a_mark", "a_touched", "a_grams", "gram", (F.col("chars") + F.col("to.more")).alias("chars"),
         (F.col("place") + F.col("to.by")).alias("place"), (F.col("to.more") == 0).alias("as_long"))
-    held = rare.select(F.col("word").alias("b"), F.col("named").alias("b_named"), "gram", "chars", "place",
-                       (F.size("named") - F.col("touched")).alias("b_least"))
-    met = asked.join(held, ["gram", "chars", "place"]).filter(~F.col("as_long") | (F.col("a") < F.col("b")))
-    merged = met.filter(F.size(F.array_intersect("a_named", "b_named")) >= F.greatest("a_least", "b_least"))
-    found = merged.filter(F.levenshtein("a", "b", 1) == 1).select("a", "b").distinct()
+    held = rare.select(F.col("word").alias("b"), F.col("named").alias("b_named"), F.col("mark").alias("b_mark"), "gram", "chars",
+                       "place", F.col("touched").alias("b_touched"), F.size("named").alias("b_grams"))
+    least = F.greatest(F.col("a_grams") - F.col("a_touched"), F.col("b_grams") - F.col("b_touched"))
+    # nested, so that the dearer tests are made only where the cheaper ones hold
+    marks_allow = ((~F.col("as_long") | (F.col("a") < F.col("b")))
+                   & (F.bit_count(F.col("a_mark").bitwiseAND(F.bitwise_not("b_mark"))) <= F.col("a_grams") - least)
+                   & (F.bit_count(F.col("b_mark").bitwiseAND(F.bitwise_not("a_mark"))) <= F.col("b_grams") - least))
+    lists_allow = F.size(F.array_intersect("a_named", "b_named")) >= least
+    near = F.when(marks_allow, F.when(lists_allow, F.levenshtein("a", "b", 1) == 1))
+    found = asked.join(held, ["gram", "chars", "place"]).filter(near).select("a", "b").distinct()
     pairs = materialize(found, "near_words")
     return pairs.unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
