@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from faultline.session import materialize
 
-RUN = "[A-Za-zÀ-ÿ]+"
+LETTER = "[A-Za-zÀ-ÿ]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LEAST_CHARS, LEAST_COUNT, TIMES = 6, 5, 5
 SHORTEST, LONGEST, PARENTS = 2, 4, 16384
@@ -55,7 +55,8 @@ def word_counts(docs: DataFrame, text: str = "text", key: str = "doc_id", every:
     """``word, n`` of all words with that many characters and occurrences; every ``every``-th run (by a checksum of id and
     run) is misspelt by leaving out one character, 0 misspells none."""
     runs = docs.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("id"),
-                       F.explode(F.regexp_extract_all(F.col(text), F.lit(RUN), F.lit(0))).alias("run"))
+                       F.explode(F.regexp_extract_all(F.col(text), F.lit(f"{LETTER}{{{max(1, least_chars)},}}"), F.lit(0))
+                                 ).alias("run"))  # shorter runs give no word
     small = F.when(F.lower("run") == F.col("run"), F.col("run")).otherwise(F.translate("run", UPPER, LOWER))
     runs = runs.select("id", small.alias("run"))
     word = F.col("run")
