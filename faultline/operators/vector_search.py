@@ -5,6 +5,7 @@
 ``blocked``   any size: probes and corpus are cut into tiles, each pair of tiles is one task's
               matrix product that emits only its k best, and the tiles' hits are merged.
 ``cells``     approximate, see ``cells.py``.
+``codes``     exact, through an index of quantised codes, see ``codes.py``.
 ``auto``      resident when the measured size is within the bound, else blocked.
 """
 
@@ -95,36 +96,34 @@ def measure(slim: DataFrame) -> int:
     return row.n * (row.w * 4 + 16)
 
 
-def tiled_hits(probes: DataFrame, corpus: DataFrame, metric: str, k: int,
-               groups: int | None = None, tile_bytes: int = TILE_BYTES,
-               smallest_tile: int = SMALLEST_TILE) -> DataFrame:
-    """Exact top-k: probes(key, pv) x corpus(id, cv) -> (key, id, score), per tile.
+def tiles(probes: DataFrame, corpus: DataFrame, groups: int | None = None, tile_bytes: int = TILE_BYTES,
+          smallest_tile: int = SMALLEST_TILE, width: Column | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides repeated over the tiles they meet in, and the columns that name a pair of tiles.
 
-    Tiles are cut by a hash of the row's own id, so rows of any origin fall into tiles of about equal
-    size. A tile holds at most ``tile_bytes`` of vectors; when there is less work than that, tiles
-    shrink until every core has some. With ``groups`` both sides carry ``grp``, the cell of an index
-    (that many of them, a parameter), and only rows of one cell meet; each cell is tiled by its own
-    size.
+    Tiles are cut by a hash of the row's own ``key`` or ``id``, so rows of any origin fall into tiles of about equal
+    size. A tile holds at most ``tile_bytes`` of ``width`` numbers a row (the widest ``cv``); when there is less work than
+    that, tiles shrink until every core has some. With ``groups`` both sides carry ``grp``, the cell of an index
+    (that many of them, a parameter), and only rows of one cell meet; each cell is tiled by its own size.
     """
     cores = probes.sparkSession.sparkContext.defaultParallelism
 
-    def tiles(rows: Column, n_probes: Column, n_corpus: Column, width: Column) -> Column:
+    def number(rows: Column, n_probes: Column, n_corpus: Column, width: Column) -> Column:
         most = F.greatest(F.lit(float(smallest_tile)), F.lit(float(tile_bytes)) / (width * 4))
         even = F.sqrt(n_probes.cast("double") * n_corpus * (groups or 1) / (4.0 * cores))
         return F.ceil(rows / F.least(most, F.greatest(F.lit(float(smallest_tile)), even)))
 
-    count, widest = F.count("*"), F.max(F.size("cv"))
+    count, widest = F.count("*"), F.max(F.size("cv")) if width is None else F.max(width)
     if groups:
         sizes = probes.groupBy("grp").agg(count.alias("np")).join(
             corpus.groupBy("grp").agg(count.alias("nc"), widest.alias("w")), "grp")
         measures = F.col("np"), F.col("nc"), F.col("w")
         counts = F.broadcast(sizes.select(  # one row per group: bounded by the parameter
-            "grp", tiles(F.col("np"), *measures).alias("p_tiles"), tiles(F.col("nc"), *measures).alias("c_tiles")))
+            "grp", number(F.col("np"), *measures).alias("p_tiles"), number(F.col("nc"), *measures).alias("c_tiles")))
         probes, corpus, on = probes.join(counts, "grp"), corpus.join(counts, "grp"), ["grp"]
     else:
         n_probes, n_corpus = probes.agg(count).scalar(), corpus.agg(count).scalar()
         measures = n_probes, n_corpus, corpus.agg(widest).scalar()
-        p_tiles, c_tiles = tiles(n_probes, *measures), tiles(n_corpus, *measures)
+        p_tiles, c_tiles = number(n_probes, *measures), number(n_corpus, *measures)
         probes, corpus = [df.withColumn("p_tiles", p_tiles).withColumn("c_tiles", c_tiles) for df in (probes, corpus)]
         on = []
 
@@ -132,9 +131,17 @@ def tiled_hits(probes: DataFrame, corpus: DataFrame, metric: str, k: int,
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(tile_count) - 1))
 
     p = probes.withColumn("p_tile", F.pmod(F.xxhash64("key"), "p_tiles")).where("c_tiles > 0").withColumn(
-        "c_tile", numbers("c_tiles")).select(*on, "p_tile", "c_tile", "key", "pv")
+        "c_tile", numbers("c_tiles")).drop("p_tiles", "c_tiles")
     c = corpus.withColumn("c_tile", F.pmod(F.xxhash64("id"), "c_tiles")).where("p_tiles > 0").withColumn(
-        "p_tile", numbers("p_tiles")).select(*on, "p_tile", "c_tile", "id", "cv")
+        "p_tile", numbers("p_tiles")).drop("p_tiles", "c_tiles")
+    return p, c, [*on, "p_tile", "c_tile"]
+
+
+def tiled_hits(probes: DataFrame, corpus: DataFrame, metric: str, k: int,
+               groups: int | None = None, tile_bytes: int = TILE_BYTES,
+               smallest_tile: int = SMALLEST_TILE) -> DataFrame:
+    """Exact top-k: probes(key, pv) x corpus(id, cv) -> (key, id, score), per pair of ``tiles``."""
+    p, c, on = tiles(probes, corpus, groups, tile_bytes, smallest_tile)
     out = T.StructType([
         T.StructField("key", probes.schema["key"].dataType),
         T.StructField("id", corpus.schema["id"].dataType),
@@ -148,7 +155,6 @@ def tiled_hits(probes: DataFrame, corpus: DataFrame, metric: str, k: int,
             "id": pa.array(tile["ids"][pos], type=right["id"].type),
             "score": pa.array(score, pa.float64())})
 
-    on = [*on, "p_tile", "c_tile"]
     return p.groupBy(*on).cogroup(c.groupBy(*on)).applyInArrow(match, out)
 
 
@@ -164,8 +170,7 @@ def vector_search(probes: DataFrame, corpus: DataFrame, probe: str, vec: str, k:
                   key: str = "alarm_id", corpus_key: str = "id", strategy: str = "auto",
                   distinct_by: str | None = None, prefix: str = "", payload: list[str] | None = None,
                   index: ResidentIndex | None = None, cells: int = 16, nprobe: int = 4,
-                  built: tuple[DataFrame, DataFrame] | None = None,
-                  tile_bytes: int = TILE_BYTES, smallest_tile: int = SMALLEST_TILE) -> DataFrame:
+                  built=None, tile_bytes: int = TILE_BYTES, smallest_tile: int = SMALLEST_TILE) -> DataFrame:
     """Columns of ``probes``, columns of ``corpus``, ``rank``, and ``score`` (DOUBLE) last.
 
     ``where`` restricts the corpus before the search. A NULL probe has no hits; with ``how='left'``
@@ -227,6 +232,12 @@ def vector_search(probes: DataFrame, corpus: DataFrame, probe: str, vec: str, k:
     elif strategy == "cells":
         from faultline.operators.cells import cell_hits
         hits = cell_hits(asked, slim, metric, k, cells, nprobe, built)
+    elif strategy == "codes":
+        from faultline.operators.codes import build_codes, code_hits
+        held = built or build_codes(slim, cells, metric, max(k, 64))
+        if held.metric != metric:
+            raise ValueError(f"the index was built for {held.metric}, not {metric}")
+        hits, _ = code_hits(asked, held, k, tile_bytes, smallest_tile)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     hits = hits.withColumnRenamed("id", "__id").withColumnRenamed("key", unit)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from faultline.functions import text, triage
 from faultline.functions.clock import plus_millis
 from faultline.operators import audit as audits
-from faultline.operators import cells, corpus, status, store
+from faultline.operators import cells, codes, corpus, status, store
 from faultline.operators.conform import conform, dimensions
 from faultline.operators.joins import lookup
 from faultline.operators.models import ModelSpec, letter_counts, ml_predict, quoting_planner
@@ -380,12 +380,9 @@ def vs_blocked(spark, sf):
 
 @query
 def vs_ann_index(spark, sf):
-    """Search through an index that was built once, around the first eight vectors, visiting three of its cells."""
-    first = tables.read(spark, sf, "embeddings").where("vec_id < 8").select(
-        F.col("vec_id").cast("int").alias("cell"), F.col("embedding").cast("array<float>").alias("centroid"))
+    """Search through an index of quantised codes that was built once; its bounds lose no hit."""
     rows = tables.manual(spark, sf).select("id", F.col("vec").alias("cv"))
-    built = cells.build_cells(rows, "cv", 8, centroids=first)
-    return probe_search(spark, sf, k=3, strategy="cells", cells=8, nprobe=3, built=built)
+    return probe_search(spark, sf, k=3, strategy="codes", built=codes.build_codes(rows, 16))
 
 
 @query

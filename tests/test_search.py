@@ -69,7 +69,7 @@ def sample(seed, probes=60, corpus=150, width=6):
 
 
 @pytest.mark.parametrize("metric", METRICS)
-@pytest.mark.parametrize("strategy", ["resident", "blocked", "cells"])
+@pytest.mark.parametrize("strategy", ["resident", "blocked", "cells", "codes"])
 def test_strategies_equal_brute_force(spark, metric, strategy):
     p, c = sample(1)
     found = vector_search(frame(spark, p, "pid", "v"), frame(spark, c, "id", "vec"), "v", "vec", k=4, metric=metric,
@@ -87,7 +87,7 @@ def test_distinct_probes_give_the_same_rows(spark, strategy):
     same(collected(one, "pid"), naive(p, c, "COSINE", 3))
 
 
-@pytest.mark.parametrize("strategy", ["resident", "blocked"])
+@pytest.mark.parametrize("strategy", ["resident", "blocked", "codes"])
 def test_partitioning_does_not_matter(spark, strategy):
     p, c = sample(3)
     results = []
@@ -226,8 +226,8 @@ def test_repeated_keys_have_their_own_hits_under_every_strategy(spark, k):
     probes = spark.createDataFrame(rows, "alarm_id STRING, p ARRAY<FLOAT>")
     corpus = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [0.7, 0.7])], "id BIGINT, v ARRAY<FLOAT>")
     got = [sorted((r.alarm_id, str(r.p), r.id or 0, r["rank"] or 0, round(r.score or 0, 6)) for r in vector_search(
-        probes, corpus, "p", "v", k=k, how="left", strategy=s, cells=2, nprobe=2).collect()) for s in ("resident", "blocked", "cells")]
-    assert got[0] == got[1] == got[2] and len(got[0]) == 4 * k + 1
+        probes, corpus, "p", "v", k=k, how="left", strategy=s, cells=2, nprobe=2).collect()) for s in ("resident", "blocked", "cells", "codes")]
+    assert got[0] == got[1] == got[2] == got[3] and len(got[0]) == 4 * k + 1
 
 
 def test_visited_cells_of_a_fitted_index_follow_from_its_measured_recall(spark, sf):
