@@ -169,7 +169,7 @@ def code_hits(asked: DataFrame, index: CodeIndex, k: int, tile_bytes: int = vs.T
 
     def usable(batch):
         p = placed_vectors(topk.to_matrix(batch["pv"]), "IP")
-        if len(p) and p.shape[1] != centres.shape[1]:
+        if len(p) and np.isfinite(radius).any() and p.shape[1] != centres.shape[1]:
             raise ValueError(f"probe width {p.shape[1]} differs from corpus width {centres.shape[1]}")
         length = np.sqrt((p ** 2).sum(axis=1)) if len(p) else np.zeros(0)
         ok = np.isfinite(length) & ((length > 0) | (metric != "COSINE"))
@@ -179,7 +179,7 @@ def code_hits(asked: DataFrame, index: CodeIndex, k: int, tile_bytes: int = vs.T
     def home(batches):
         for batch in batches:
             batch, p = usable(batch)
-            if len(p):
+            if len(p) and np.isfinite(radius).any():
                 near = np.where(np.isfinite(radius), goodness(p, centres, metric), -np.inf).argmax(axis=1)
                 yield pa.record_batch([pa.array(near, pa.int32()), batch["key"], batch["pv"]], ["grp", "key", "pv"])
 

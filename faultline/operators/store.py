@@ -141,10 +141,14 @@ def latest_status(log: DataFrame) -> DataFrame:
 
 
 def incident_current(incident: DataFrame, log: DataFrame, as_of: Column) -> DataFrame:
-    """Current state, derived from the log. NULL status: NULL flags, except where SLA is undated."""
+    """Current state, derived from the log."""
+    return with_flags(incident.join(latest_status(log), "incident_id", "left"), as_of)
+
+
+def with_flags(current: DataFrame, as_of: Column) -> DataFrame:
+    """NULL status: NULL flags, except where SLA is undated."""
     status = F.col("status")
-    joined = incident.join(latest_status(log), "incident_id", "left")
-    return joined.withColumn("needs_human", status.isin(*HUMAN_NEEDED)).withColumn(
+    return current.withColumn("needs_human", status.isin(*HUMAN_NEEDED)).withColumn(
         "sla_breached",
         F.col("sla_due").isNotNull() & (as_of > F.col("sla_due")) & ~status.isin(*TERMINAL))
 
