@@ -21,7 +21,7 @@ from faultline.plans import metrics, retrieve, views
 from faultline.schemas import MANUAL, WORK_ORDER
 from faultline.session import configure, materialize, run_dir, shared_dir
 from faultline.sources import streams, tables
-from faultline.streaming import sinks, stages
+from faultline.streaming import sinks, stages, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -795,6 +795,45 @@ def stream_status(spark, sf):
     return run_status(spark, sf, work)
 
 
+def replayed(spark, rows: DataFrame, path: str) -> DataFrame:
+    """A table as a stream of files."""
+    rows.write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).parquet(path)
+
+
+def finish_rows(rows: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """All rows that a stateful stream gives out, from a stored table."""
+    finish(sinks.each_batch(rows, lambda batch: {path: batch}, checkpoint, mode="update"))
+    return sinks.read_batches(rows.sparkSession, path)
+
+
+@query
+def stream_incident_current(spark, sf):
+    """The current state from the change feed of keyed state."""
+    state.use_state_store(spark)
+    work = run_dir(spark, "feed")
+    ctx = stage_one(spark, sf)
+    rows = state.changes(*families(ctx), human(spark, sf)[1], log_of(spark, sf, ctx))
+    feed = finish_rows(state.change_feed(replayed(spark, rows, f"{work}/in")), f"{work}/feed", f"{work}/checkpoint")
+    return shown(state.current(feed, moment(AS_OF)))
+
+
+@query
+def stream_sla_breached(spark, sf):
+    """Incidents that are late at the moment asked about, from the events of their deadlines. A record a year later
+    stands for the stream going on, so that the watermark passes that moment."""
+    state.use_state_store(spark)
+    work = run_dir(spark, "deadlines")
+    ctx = stage_one(spark, sf)
+    stamps = ctx.select(F.col("alarm_id").alias("incident_id"), "t_context", "sla_due")
+    later = spark.createDataFrame([("later", None)], "incident_id STRING, sla_due TIMESTAMP_NTZ").select(
+        "incident_id", (moment(AS_OF) + F.expr("INTERVAL 1 YEAR")).alias("t_context"), "sla_due")
+    flags = finish_rows(state.breaches(replayed(spark, stamps.unionByName(later), f"{work}/ctx"),
+                                       replayed(spark, log_of(spark, sf, ctx), f"{work}/log")),
+                        f"{work}/flags", f"{work}/checkpoint")
+    return state.breached_at(flags, moment(AS_OF)).where("sla_breached").select("incident_id")
+
+
 @query
 def stream_human_actions(spark, sf):
     """Human actions as a stream with two outputs; the log it leaves."""

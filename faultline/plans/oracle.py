@@ -399,6 +399,12 @@ add("ever_needed_human", """
 SELECT incident_id, bool_or(status IN ('NEEDS_CONTEXT', 'NEEDS_REVIEW')) AS ever_needed_human
 FROM log GROUP BY incident_id""", TO_LOG)
 add("sla_breached", "SELECT incident_id, sla_due, sla_breached FROM current", TO_CURRENT)
+add("stream_incident_current", "SELECT * EXCLUDE (eid, full_score) FROM current", TO_CURRENT)
+add("stream_sla_breached", f"""
+SELECT alarm_id AS incident_id FROM context JOIN (
+  SELECT incident_id, status FROM log WHERE at_ts <= {NOW}
+  QUALIFY row_number() OVER (PARTITION BY incident_id ORDER BY at_ts DESC, seq DESC) = 1) ON incident_id = alarm_id
+WHERE t_context <= {NOW} AND sla_due < {NOW} AND status NOT IN {ENDED}""", TO_LOG)
 add("human_transition", "SELECT * FROM human_log", [ACTIONS_SQL])
 add("stream_human_actions", "SELECT * FROM human_log", [ACTIONS_SQL])
 add("human_columns", "SELECT incident_id, assignee, manual_action, resolution_notes FROM incident", TO_INCIDENT)
