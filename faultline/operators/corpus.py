@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,6 +78,51 @@ def measure_for(text: Column, category: Column, rules=None, fallback=None) -> Co
     return chain
 
 
+class KeywordRules:
+    """First-match rules of any number of keywords: one pass over a text, however many there are.
+
+    ``rules`` holds ``rule_no`` (the smaller counts first) and ``word``; rows without either are ignored, an empty word
+    stands in every text. The keywords become one automaton, built once per task and dropped with it. They have to fit
+    ``most_bytes``, which is checked: they are shipped with every task.
+    """
+
+    def __init__(self, rules: DataFrame, most_bytes: int = 64 << 20):
+        known = rules.where("rule_no IS NOT NULL AND word IS NOT NULL").groupBy("word").agg(F.min("rule_no").alias("rule_no"))
+        size = known.agg(F.coalesce(F.sum(F.octet_length("word") + 16), F.lit(0)).alias("bytes")).first().bytes
+        if size > most_bytes:
+            raise ValueError(f"keywords take {size} bytes, over the bound of {most_bytes}")
+        self.words = [(r.word, r.rule_no) for r in known.collect()]
+
+    def first(self, text: Column) -> Column:
+        """The number of the first rule with a keyword contained in ``text``; NULL without one, and for a NULL text."""
+        words = [(w, n) for w, n in self.words if w]
+        always = min((n for w, n in self.words if not w), default=None)
+        least = min((n for _, n in self.words), default=None)
+
+        def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            import ahocorasick
+            automaton = ahocorasick.Automaton()
+            for word, number in words:
+                automaton.add_word(word, number)
+            automaton.make_automaton()
+
+            def best(value: str) -> int | None:
+                found = always
+                if words:
+                    for _, number in automaton.iter(value):
+                        if found is None or number < found:
+                            found = number
+                            if found == least:
+                                break
+                return found
+
+            for batch in batches:
+                yield pa.array([None if v is None else best(v) for v in batch.to_pylist()], pa.int32())
+
+        scan.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+        return F.arrow_udf(scan, returnType="int")(text)
+
+
 def repeated(df: DataFrame, key: Column | str) -> DataFrame:
     """Values of ``key`` on more than one row; counts are combined before the shuffle."""
     column = F.col(key) if isinstance(key, str) else key

@@ -226,8 +226,15 @@ def rule_lookup_first_match(spark, sf):
     word = F.array(*map(F.lit, words))[(F.col("id") % (len(words) + 1)).cast("int")]
     ending = F.when(F.col("id") % (len(words) + 1) < len(words), F.concat(F.lit(" shows "), word)).otherwise("")
     sections = tables.manual(spark, sf).select("id", "category", F.concat("content", ending).alias("content"))
-    found = sections.withColumn("m", corpus.measure_for(F.col("content"), F.col("category")))
-    return found.select("id", "category", "m.rule_no", "m.unit", "m.low", "m.high", "m.verb")
+    known = corpus.KeywordRules(spark.createDataFrame(
+        [(n, w) for n, rule in enumerate(corpus.MODE_RULES) for w in rule[0]], "rule_no INT, word STRING"))
+    outcome = "unit STRING, low DOUBLE, high DOUBLE, verb STRING"
+    rules = spark.createDataFrame([(n, *rule[1:]) for n, rule in enumerate(corpus.MODE_RULES)], f"rule_no INT, {outcome}")
+    fallback = spark.createDataFrame([(c, *v) for c, v in corpus.CATEGORY_RULES.items()], f"category STRING, {outcome}")
+    found = sections.select("id", "category", known.first(F.col("content")).alias("rule_no"))
+    named = found.join(rules, "rule_no", "left").join(fallback.alias("f"), "category", "left")
+    return named.select("id", "category", "rule_no", *[F.when(F.col("rule_no").isNull(), F.col(f"f.{c}")).otherwise(
+        rules[c]).alias(c) for c in ("unit", "low", "high", "verb")])
 
 
 # ---- models -----------------------------------------------------------------------------------

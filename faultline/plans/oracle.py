@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from faultline.schemas import CONTEXT_FAMILY, TERMINAL
 from faultline.plans.catalog import AS_OF, REPLAYED
 
@@ -262,19 +264,26 @@ FALLBACK = """
   ('thermal', 'degrees C', 35.0::DOUBLE, 190.0::DOUBLE, 'climbs past'),
   ('safety', 'ms', 40.0::DOUBLE, 480.0::DOUBLE, 'exceeds'),
   ('pneumatic', 'bar', 3.0::DOUBLE, 11.0::DOUBLE, 'falls below')"""
-add("rule_lookup_first_match", """
-SELECT m.id, m.category, CAST(f.n AS INTEGER) AS rule_no, coalesce(r.unit, b.unit) AS unit,
-  CASE WHEN f.n IS NULL THEN b.low ELSE r.low END AS low, CASE WHEN f.n IS NULL THEN b.high ELSE r.high END AS high,
+_pairs = re.findall(r"\((\d+), '([^']*)'\)", KEYWORDS)
+_words = sorted({word for _, word in _pairs})
+_listed = "[" + ", ".join(f"{{'n': {n}, 'word': '{word}'}}" for n, word in _pairs) + "]"
+add("rule_lookup_first_match", f"""
+SELECT s.id, s.category, CAST(s.n AS INTEGER) AS rule_no, coalesce(r.unit, b.unit) AS unit,
+  CASE WHEN s.n IS NULL THEN b.low ELSE r.low END AS low, CASE WHEN s.n IS NULL THEN b.high ELSE r.high END AS high,
   coalesce(r.verb, b.verb) AS verb
-FROM manual m LEFT JOIN first_rule f ON f.id = m.id LEFT JOIN rules r ON r.n = f.n
-  LEFT JOIN fallback b ON b.category = m.category""",
-    [manual(), f"keywords(n, word) AS (VALUES {KEYWORDS})", f"rules(n, unit, low, high, verb) AS (VALUES {RULES})",
+FROM matched s LEFT JOIN rules r ON r.n = s.n LEFT JOIN fallback b ON b.category = s.category""",
+    [f"rules(n, unit, low, high, verb) AS (VALUES {RULES})",
      f"fallback(category, unit, low, high, verb) AS (VALUES {FALLBACK})",
-     # every text gets one keyword by its id, or, in turn, none
-     "numbered AS (SELECT word, row_number() OVER (ORDER BY word) - 1 AS k FROM (SELECT DISTINCT word FROM keywords))",
-     """reports AS (SELECT id, content || coalesce(' shows ' || word, '') AS content FROM manual
-       LEFT JOIN numbered ON k = id % (SELECT count(*) + 1 FROM numbered))""",
-     "first_rule AS (SELECT id, min(n) AS n FROM reports JOIN keywords ON contains(content, word) GROUP BY id)"])
+     "vectors AS (SELECT vec_id, label, count(*) OVER () AS total FROM embeddings)",
+     "total AS (SELECT 1 AS one, max(total) AS total FROM vectors)",
+     "placed AS (SELECT doc_id, text, doc_id % total AS vec_id FROM (SELECT *, 1 AS one FROM documents) JOIN total USING (one))",
+     # every text gets one keyword by its id, or, in turn, none; without it the last element is NULL
+     f"""reports AS (SELECT doc_id AS id, CASE label % 6 WHEN 0 THEN 'mechanical' WHEN 1 THEN 'hydraulic' WHEN 2 THEN 'electrical'
+        WHEN 3 THEN 'thermal' WHEN 4 THEN 'safety' ELSE 'pneumatic' END AS category,
+      text || coalesce(' shows ' || list_extract({_words!r}, CAST(doc_id % {len(_words) + 1} + 1 AS BIGINT)), '') AS content
+      FROM placed JOIN vectors USING (vec_id))""",
+     f"""matched AS (SELECT id, category, list_min(list_transform(list_filter({_listed}, lambda k: contains(content, k.word)),
+       lambda k: k.n)) AS n FROM reports)"""])
 
 # ---- models -----------------------------------------------------------------------------------
 
