@@ -9,7 +9,8 @@ another block visits a block of cell j as a guest only if the triangle inequalit
 * the distance of x to the border between its own cell i and cell j, whose sine is (x.p_i - x.p_j) / |p_i - p_j|, must
   not be over r.
 
-Of two blocks only the later one gets guests, so every pair is looked at once. Blocks join independently: a block's
+Of two blocks only one gets guests, the later one if their numbers add up to an even one, else the earlier, so every pair is
+looked at once and no block takes them all. Blocks join independently: a block's
 home vectors lie in memory as one matrix, guests stream past in batches. Single precision proposes pairs down to a margin
 that covers its rounding, double precision decides. Nothing is approximate; pivots only decide how much is looked at.
 
@@ -41,7 +42,9 @@ MARGIN = 1e-4
 
 
 def directions(vectors: np.ndarray) -> np.ndarray:
-    """Rows of length one, in double precision."""
+    """Rows of length one, in double precision. The largest entry is taken out first: squares of very small and of very
+    large numbers do not fit a double."""
+    vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True, initial=np.finfo(float).tiny)
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
@@ -109,11 +112,14 @@ def linked(distinct: DataFrame, least: float = LEAST_COSINE, block_rows: int = B
         blocks += [cell] * -(-cells[cell][0] // block_rows)
     shares = {cell: -(-cells[cell][0] // block_rows) for cell in cells}
 
+    def takes(own: np.ndarray, block: int) -> np.ndarray:
+        """Whether ``block`` gets the guests of the pair it forms with ``own``."""
+        return (own != block) & ((own < block) == ((own + block) % 2 == 0))
+
     def visit(batches):
         target = np.array(blocks)
         radius = np.array([cells[c][1] for c in blocks])
         placed = np.flatnonzero(target >= 0)
-        apart = np.linalg.norm(pivots[:, None, :] - pivots[None, :, :], axis=2) if len(pivots) <= 2048 else None
         for batch in batches:
             ids, cell = batch.column("id").to_numpy(), batch.column("cell").to_numpy()
             own = np.array([first[c] + (i * 0x9E3779B1 >> 7) % shares[c]
@@ -122,7 +128,7 @@ def linked(distinct: DataFrame, least: float = LEAST_COSINE, block_rows: int = B
             for dims in np.unique(cell[cell < 0]):
                 at = np.flatnonzero(cell == dims)
                 for block in range(first[dims], first[dims] + shares[dims]):
-                    guests = at[own[at] < block]
+                    guests = at[takes(own[at], block)]
                     row.append(guests)
                     to.append(np.full(len(guests), block))
             at = np.flatnonzero(cell >= 0)
@@ -132,9 +138,9 @@ def linked(distinct: DataFrame, least: float = LEAST_COSINE, block_rows: int = B
                 mine = near[np.arange(len(at)), cell[at]]
                 for block in placed:
                     j = target[block]
-                    gap = apart[cell[at], j]
+                    gap = np.linalg.norm(pivots - pivots[j], axis=1)[cell[at]]
                     border = np.where(gap > 0, (mine - near[:, j]) / np.where(gap > 0, gap, 1), 0.0)
-                    may = (own[at] < block) & (np.arccos(np.clip(near[:, j], -1, 1)) - reach <= radius[block]) & (
+                    may = takes(own[at], block) & (np.arccos(np.clip(near[:, j], -1, 1)) - reach <= radius[block]) & (
                         border <= np.sin(min(reach, np.pi / 2)) + 1e-9)
                     row.append(at[may])
                     to.append(np.full(int(may.sum()), block))
