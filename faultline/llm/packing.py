@@ -8,8 +8,8 @@ of length s goes where the sum of N(g) squared becomes smallest: moving a sequen
 by 2 (N(g - s) - N(g)) + 2, or by 1 - 2 N(s) when it is filled up. A new sequence is opened only when no open one has
 room. Rows that fill a sequence alone never enter the state.
 
-Pieces are dealt at random into shards of about ``SHARD`` pieces, whatever their source or text, and each shard packs
-alone: memory is bounded by the shard, a shard ends with about one sequence that is not full, and a lost task repeats one
+Pieces are dealt at random, by a hash of their place in the stored table, into shards of about ``SHARD`` pieces, whatever
+their source, id or text, so that equal rows part too, and each shard packs alone: memory is bounded by the shard, a shard ends with about one sequence that is not full, and a lost task repeats one
 shard. Only lengths are moved, never texts or ids.
 
 Cases: a NULL or empty text is a document of the end id alone; rows with equal ids are packed each; an empty table gives
@@ -89,7 +89,8 @@ def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, shard: int = SHARD) -> DataFrame:
-    """``pieces`` (columns of ``PIECES``) with ``sequence_id`` and ``offset``. They are read twice: pass a stored table."""
+    """``pieces`` (columns of ``PIECES``) with ``sequence_id`` and ``offset``. They are read twice, and a row's place among the
+    files decides its shard: pass a stored table."""
     shards = max(1, -(-pieces.count() // shard))
 
     def fill(group: pd.DataFrame) -> pd.DataFrame:
@@ -100,8 +101,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, shard: int = SHARD) -> Dat
         group["offset"] = offset
         return group.drop(columns="__shard")
 
-    dealt = pieces.withColumn("__shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(7)), F.lit(shards))
-                              .cast("int"))
+    place_in_table = F.struct(F.monotonically_increasing_id())
+    dealt = pieces.withColumn("__shard", F.pmod(F.xxhash64(place_in_table, F.lit(7)), F.lit(shards)).cast("int"))
     return dealt.groupBy("__shard").applyInPandas(fill, f"{PIECES}, sequence_id bigint, offset bigint")
 
 
