@@ -19,8 +19,10 @@ Blocks beyond ``TILE`` shingles are cut into tiles by a hash of the documents, a
 own: nothing is capped, and a popular posting, or a group of copies with a large share of all rows, is many tasks.
 
 Cases: a NULL text, and one without words, has an empty set and links with nothing; a text with fewer words than a
-shingle has one shingle; copies share a set, however many; rows with equal ids share a component, and if
-their texts differ, the smallest list of shingles stands for the id in links; an empty table gives an empty result; a NULL id stays alone with its set; other columns are not read.
+shingle has one shingle; copies share a set, however many; rows with equal ids share a component and each has its own
+links: where an id has different sets, rows are numbered and joined by their numbers, and the components of an id's rows
+are joined afterwards; a NULL id links with nothing, has no component and is kept; an empty table gives an empty result;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -260,6 +262,10 @@ def full_sets(docs: DataFrame, wanted: DataFrame, size: int, text: str, key: str
 def near_duplicates(docs: DataFrame, size: int = 5, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Per row ``key, n_shingles, component_id`` (smallest id reachable by links) and ``kept``."""
     rows = materialize(signed(docs, size, text, key), "signatures")
+    several = rows.filter("same IS NOT NULL AND id IS NOT NULL").groupBy("id").agg(
+        F.min("same").alias("low"), F.max("same").alias("high")).filter("low <> high")
+    if several.limit(1).count():
+        return by_rows(docs, rows, size, text, key)
     reps = materialize(rows.filter("same IS NOT NULL AND id IS NOT NULL").groupBy("same").agg(
         F.min("id").alias("rep")), "sets")
     marked = rows.filter("same IS NOT NULL").select(F.col("id").alias("rep"), "n", "marks")
@@ -270,6 +276,24 @@ def near_duplicates(docs: DataFrame, size: int = 5, text: str = "text", key: str
     groups = components(materialize(links(placed, sets), "links"))
     member = rows.select("id", "n", "same").join(reps, "same", "left").join(
         groups.withColumnRenamed("id", "rep"), "rep", "left")
-    component = F.coalesce("component_id", "rep", "id")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "rep", "id"))
     return member.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"),
                          F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+
+
+def by_rows(docs: DataFrame, rows: DataFrame, size: int, text: str, key: str) -> DataFrame:
+    """``near_duplicates`` of a table in which an id stands on rows with different sets."""
+    numbered = materialize(docs.filter(F.col(key).isNotNull()).select(
+        F.monotonically_increasing_id().alias("row"), F.col(key).cast("long").alias("id"), F.col(text).alias("text")), "rows")
+    found = near_duplicates(numbered, size, "text", "row").withColumnRenamed("component_id", "part")
+    found = materialize(found.select("row", "n_shingles", "part").join(numbered.select("row", "id"), "row"), "row_parts")
+    first = found.groupBy("id").agg(F.min("part").alias("least"))
+    joined = components(found.join(first, "id").select("part", "least"), "part", "least").select(
+        F.col("id").alias("part"), F.col("component_id").alias("whole"))
+    whole = found.join(joined, "part", "left").select("id", "n_shingles", F.coalesce("whole", "part").alias("whole"))
+    least = whole.groupBy("whole").agg(F.min("id").alias("component_id"))
+    out = whole.join(least, "whole").select(F.col("id").alias(key), "n_shingles", "component_id",
+                                            (F.col("id") == F.col("component_id")).alias("kept"))
+    return out.unionByName(rows.filter("id IS NULL").select(
+        F.col("id").alias(key), F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"),
+        F.lit(True).alias("kept")))
