@@ -37,7 +37,7 @@ from faultline.llm.chunks import by_bytes, gather, parts_of
 from faultline.session import materialize
 
 SAMPLE = 12_000
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 FEATURES = 4096
 LEAST_G = 15.0
 OPENINGS = (4, 5, 6)
