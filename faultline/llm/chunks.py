@@ -18,6 +18,7 @@ Special strings hold no space, so a cut never splits one.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 from functools import lru_cache
@@ -31,6 +32,7 @@ from faultline.llm.pretokens import pretokens, to_symbols
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 BATCH_BYTES = 24 << 20
 KNOWN_WORDS = 400_000
+LIBC = ctypes.CDLL(None)
 
 
 class Library:
@@ -173,11 +175,22 @@ def encode(texts: pa.Array, path: str, lib: Library | None = None) -> tuple[np.n
     return gather(np.concatenate([values, more]), np.concatenate([offsets, offsets[-1] + more_offsets[1:]]), order)
 
 
-def by_bytes(batch: pa.RecordBatch, column: str, most: int = BATCH_BYTES):
-    """``batch`` in slices whose ``column`` holds about ``most`` bytes; a longer single value is a slice of its own."""
+def give_back() -> None:
+    """Freed memory goes back to the system. Python workers live through many tasks and stages; without this each keeps
+    the most that any of them needed at once."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(LIBC, "malloc_trim"):
+        LIBC.malloc_trim(0)
+
+
+def by_bytes(batch: pa.RecordBatch, column: str, most: int = BATCH_BYTES, trim: bool = False):
+    """``batch`` in slices whose ``column`` holds about ``most`` bytes; a longer single value is a slice of its own. With
+    ``trim``, memory is given back after each."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     group = np.cumsum(sizes.astype(np.int64)) // most
     edges = [0, *(np.nonzero(np.diff(group))[0] + 1), len(sizes)]
     for start, end in zip(edges, edges[1:], strict=False):
         if end > start:
             yield batch.slice(start, end - start)
+            if trim:
+                give_back()

@@ -32,6 +32,7 @@ from faultline.session import materialize
 
 CAPACITY = 2048
 SHARD = 8192
+SLICE_BYTES = 12 << 20
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
@@ -41,7 +42,7 @@ def token_pieces(docs: DataFrame, path: str, end_id: int, capacity: int = CAPACI
 
     def cut(batches):
         for batch in batches:
-            for rows in by_bytes(batch, "text"):
+            for rows in by_bytes(batch, "text", SLICE_BYTES):
                 ids, offsets = encode(rows.column(1), path)
                 ids = np.insert(ids, offsets[1:], np.uint32(end_id)).astype("<u4")
                 opens = offsets[:-1] + np.arange(len(rows))

@@ -106,7 +106,7 @@ def statistics(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Data
 
     def count(batches):
         for batch in batches:
-            for rows in by_bytes(batch, "text", SLICE_BYTES):
+            for rows in by_bytes(batch, "text", SLICE_BYTES, trim=True):
                 counts = text_counts(rows.column(1))
                 yield pa.record_batch([rows.column(0), *[pa.array(c, pa.int64()) for c in counts.values()]],
                                       names=["doc_id", *COUNTS])
