@@ -43,7 +43,7 @@ COORDINATES, MATCHES = 64, 36
 TILE, CENTRES = 1 << 20, 8
 #: Ids of up to so many documents (32 MB) are broadcast when their texts are looked up; beyond, both sides are shuffled.
 BROADCAST_IDS = 4_000_000
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 PERCENT = 80
 
 
@@ -72,7 +72,7 @@ def signed(docs: DataFrame, size: int, text: str, key: str) -> DataFrame:
 
     def sign(batches):
         for batch in batches:
-            for rows in by_bytes(batch, "text", SLICE_BYTES, trim=True):
+            for rows in by_bytes(batch, "text", SLICE_BYTES):
                 values, offsets = shingle_sets(rows.column(1), size)
                 sizes = np.diff(offsets)
                 tokens = signatures(values, offsets).view(np.int64)
@@ -248,7 +248,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, size: int, text: str, key: str
 
     def build(batches):
         for batch in batches:
-            for rows in by_bytes(batch, "text", SLICE_BYTES, trim=True):
+            for rows in by_bytes(batch, "text", SLICE_BYTES):
                 values, offsets = shingle_sets(rows.column(1), size)
                 yield pa.record_batch([rows.column(0), pa.ListArray.from_arrays(
                     pa.array(offsets, pa.int32()), pa.array(values.view(np.int64)))], names=["rep", "shingles"])

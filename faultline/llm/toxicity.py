@@ -37,7 +37,7 @@ from faultline.llm.chunks import by_bytes, gather, parts_of
 from faultline.session import materialize
 
 SAMPLE = 12_000
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 FEATURES = 4096
 LEAST_G = 15.0
 OPENINGS = (4, 5, 6)
@@ -215,7 +215,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id"
 
     def run(batches):
         for batch in batches:
-            for rows in by_bytes(batch, "text", SLICE_BYTES, trim=True):
+            for rows in by_bytes(batch, "text", SLICE_BYTES):
                 yield pa.record_batch([rows.column(0), pa.array(model.scores(rows.column(1)))], names=["doc_id", "score"])
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -231,7 +231,7 @@ def keep_clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def judge(batches):
         for batch in batches:
-            for rows in by_bytes(batch, text, SLICE_BYTES, trim=True):
+            for rows in by_bytes(batch, text, SLICE_BYTES):
                 clean = model.scores(pc.fill_null(rows.column(at), "")) < 0.5
                 yield rows.filter(pa.array(clean))
 
