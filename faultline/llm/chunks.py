@@ -25,12 +25,14 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 from faultline.llm.pretokens import pretokens, to_symbols
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 BATCH_BYTES = 24 << 20
 KNOWN_WORDS = 400_000
+BATCH_SETTING, BATCH_SIZE = "spark.sql.execution.arrow.maxBytesPerBatch", "12m"
 
 
 class Library:
@@ -181,3 +183,13 @@ def by_bytes(batch: pa.RecordBatch, column: str, most: int = BATCH_BYTES):
     for start, end in zip(edges, edges[1:], strict=False):
         if end > start:
             yield batch.slice(start, end - start)
+
+
+def small_batches(docs: DataFrame) -> DataFrame:
+    """``docs``, with Arrow batches of a few megabytes unless the session sets their size itself. A batch waits whole, in the
+    JVM and in the worker, while its slices are worked on, and Spark's own limit is 64 MB. Plans run later, so the setting
+    stays; a longer single row is a batch of its own."""
+    conf = docs.sparkSession.conf
+    if conf.get(BATCH_SETTING, None) is None:
+        conf.set(BATCH_SETTING, BATCH_SIZE)
+    return docs

@@ -88,7 +88,7 @@ def signed(docs: DataFrame, size: int, text: str, key: str) -> DataFrame:
                     pa.array(marks, pa.binary())], names=["id", "n", "same", "tokens", "marks"])
 
     rows = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return rows.mapInArrow(sign, "id bigint, n bigint, same string, tokens array<bigint>, marks binary")
+    return small_batches(rows).mapInArrow(sign, "id bigint, n bigint, same string, tokens array<bigint>, marks binary")
 
 
 def prefix_postings(rows: DataFrame, reps: DataFrame) -> DataFrame:

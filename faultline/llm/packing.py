@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.chunks import by_bytes, encode
+from faultline.llm.chunks import by_bytes, encode, small_batches
 from faultline.session import materialize
 
 CAPACITY = 2048
@@ -59,7 +59,7 @@ def token_pieces(docs: DataFrame, path: str, end_id: int, capacity: int = CAPACI
 
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return rows.mapInArrow(cut, PIECES)
+    return small_batches(rows).mapInArrow(cut, PIECES)
 
 
 def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

@@ -235,4 +235,4 @@ def keep_clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 clean = model.scores(pc.fill_null(rows.column(at), "")) < 0.5
                 yield rows.filter(pa.array(clean))
 
-    return docs.mapInArrow(judge, docs.schema)
+    return small_batches(docs).mapInArrow(judge, docs.schema)
