@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.chunks import by_bytes, gather
+from faultline.llm.chunks import by_bytes, gather, small_batches
 from faultline.llm.components import components
 from faultline.llm.shingles import shingle_sets
 from faultline.session import materialize

@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.chunks import by_bytes, gather, parts_of
+from faultline.llm.chunks import by_bytes, gather, parts_of, small_batches
 from faultline.session import materialize
 
 SAMPLE = 12_000
