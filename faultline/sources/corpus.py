@@ -17,7 +17,14 @@ from faultline.schemas import MANUAL, struct
 SECTION = struct("content STRING, category STRING, section STRING, doc_ref STRING, severity INT")
 
 
-def read_corpus(spark: SparkSession, path: str, schema: T.StructType = MANUAL, key: str = "id") -> DataFrame:
+def read_corpus(spark: SparkSession, path: str, schema: T.StructType = MANUAL, key: str = "id",
+                model: ModelSpec | None = None, dim: int | None = None) -> DataFrame:
+    """The corpus at ``path``. With the ``model`` and width of the probes, a corpus that another model embedded, or whose
+    seeding did not end, is an error: distances between vectors of different models mean nothing."""
+    if model is not None:
+        held, asked = fingerprint(spark, path), model.fingerprint(dim)
+        if held != asked:
+            raise ValueError(f"the corpus at {path} was embedded by {held or 'no known model'}, the probes by {asked}")
     return conform(spark.read.parquet(path), schema, key)
 
 
@@ -59,10 +66,16 @@ def fingerprint(spark: SparkSession, path: str) -> str | None:
     return row.fingerprint if row else None
 
 
+def put_fingerprint(spark: SparkSession, path: str, value: str | None) -> None:
+    meta = spark.createDataFrame([(value,)], "fingerprint STRING")
+    meta.coalesce(1).write.mode("overwrite").json(f"{path}_meta")
+
+
 def seed_corpus(sections: DataFrame, path: str, model: ModelSpec, dim: int, batch_size: int = 100) -> bool:
     """Embed the prose of ``sections`` and replace the corpus at ``path``; True when it was written.
 
-    Skipped while the fingerprint of model and width stays the same. Only ``content`` is embedded: a
+    Skipped while the fingerprint of model and width stays the same. The fingerprint is withdrawn before the rows are
+    replaced and set after them, so a run that breaks off in between is never taken for a finished one. Only ``content`` is embedded: a
     title would let a probe match the label instead of what the section says.
     """
     spark = sections.sparkSession
@@ -74,7 +87,8 @@ def seed_corpus(sections: DataFrame, path: str, model: ModelSpec, dim: int, batc
     failed = embedded.where(F.col("failure").isNotNull()).first()
     if failed:
         raise ValueError(f"section {failed.id} was not embedded: {failed.failure}")
-    check_dim(embedded, "vec", dim).select(*MANUAL.names).write.mode("overwrite").parquet(path)
-    meta = spark.createDataFrame([(print_,)], "fingerprint STRING")
-    meta.coalesce(1).write.mode("overwrite").json(f"{path}_meta")
+    checked = check_dim(embedded, "vec", dim).select(*MANUAL.names)
+    put_fingerprint(spark, path, None)
+    checked.write.mode("overwrite").parquet(path)
+    put_fingerprint(spark, path, print_)
     return True

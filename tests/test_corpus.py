@@ -6,6 +6,7 @@ from faultline.operators.corpus import MODE_RULES, exclude, measure_for, number_
 from faultline.operators.models import ModelSpec, letter_counts
 from faultline.schemas import MANUAL
 from faultline.sources.corpus import assemble, extra_sections, fingerprint, read_corpus, seed_corpus
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,6 +102,32 @@ def test_seeding_refuses_a_wrong_width_or_a_failed_call(spark, tmp_path):
     assert fingerprint(spark, path) is None
 
 
+def test_reading_for_probes_of_another_model_is_refused(spark, tmp_path):
+    path = str(tmp_path / "manual")
+    seed_corpus(assemble(sections(spark, "a"), sections(spark, "b")), path, LETTERS, 26)
+    assert read_corpus(spark, path, model=LETTERS, dim=26).count() == 2
+    with pytest.raises(ValueError, match="embedded by letters@26, the probes by letters-2@26"):
+        read_corpus(spark, path, model=ModelSpec("letters-2", "ARRAY<FLOAT>", letter_counts), dim=26)
+
+
+def test_a_seeding_that_breaks_off_is_not_taken_for_finished(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "manual")
+    seed_corpus(assemble(sections(spark, "a"), sections(spark, "b")), path, LETTERS, 26)
+    other = ModelSpec("letters-2", "ARRAY<FLOAT>", letter_counts)
+    more = assemble(sections(spark, "cab"), sections(spark, "xy"))
+
+    def lost(*_, **__):
+        raise OSError("lost")
+    with monkeypatch.context() as broken:
+        broken.setattr(DataFrameWriter, "parquet", lost)
+        with pytest.raises(OSError, match="lost"):
+            seed_corpus(more, path, other, 26)
+    assert fingerprint(spark, path) is None
+    with pytest.raises(ValueError, match="no known model"):
+        read_corpus(spark, path, model=LETTERS, dim=26)
+    assert seed_corpus(more, path, LETTERS, 26) and read_corpus(spark, path, model=LETTERS, dim=26).count() == 5
+
+
 def test_numbering_over_partitions(spark):
     df = spark.range(1000).select((999 - F.col("id")).alias("v")).repartition(7)
     assert all(r.id == r.v for r in number_rows(df, ["v"]).collect())
