@@ -32,6 +32,7 @@ from faultline.llm.pretokens import pretokens, to_symbols
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 BATCH_BYTES = 24 << 20
 KNOWN_WORDS = 400_000
+PARTS = 32_768
 BATCH_SETTING, BATCH_SIZE = "spark.sql.execution.arrow.maxBytesPerBatch", "12m"
 
 
@@ -39,7 +40,8 @@ class Library:
     """One tokenizer file: ``whole`` encodes texts by one call of the library, ``parts`` encodes distinct parts."""
 
     def __init__(self, path: str):
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
+        self.numbers: dict[int, int] = {}  # one object per id, shared by all known words
         if path.endswith(".model"):
             import sentencepiece
             model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -77,7 +79,8 @@ class Library:
         return out
 
     def merge(self, word: str) -> tuple[int, ...]:
-        return tuple([token.id for token in self.model.tokenize(to_symbols(word))])
+        one = self.numbers.setdefault
+        return tuple([one(token.id, token.id) for token in self.model.tokenize(to_symbols(word))])
 
 
 @lru_cache(maxsize=4)
@@ -123,15 +126,20 @@ def parts_of(texts: pa.Array, keeps_space: bool) -> tuple[pa.Array, np.ndarray,
     return parts, index, first
 
 
-def ids_of(parts: pa.Array, lib: Library) -> list:
-    """The ids of each part; the cyclic collector rests meanwhile: hundreds of thousands of small objects, no cycles."""
+def ids_of(parts: pa.Array, lib: Library) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all parts and their offsets. Only ``PARTS`` at a time are Python objects; the cyclic collector rests
+    meanwhile: many small objects, no cycles."""
     collecting = gc.isenabled()
     gc.disable()
     try:
-        return lib.parts(parts.to_pylist())
+        runs = [ragged(lib.parts(parts.slice(at, PARTS).to_pylist())) for at in range(0, len(parts), PARTS)]
     finally:
         if collecting:
             gc.enable()
+    if not runs:
+        return ragged([])
+    sizes = np.concatenate([np.diff(offsets) for _, offsets in runs])
+    return np.concatenate([values for values, _ in runs]), np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
 
 
 def unsafe_rows(texts: pa.Array, lib: Library) -> np.ndarray:
@@ -148,7 +156,7 @@ def lengths(texts: pa.Array, path: str) -> np.ndarray:
     unsafe = unsafe_rows(texts, lib)
     out = np.zeros(len(texts), np.int64)
     parts, index, first = parts_of(texts.filter(pa.array(~unsafe)), lib.keeps_space)
-    each = np.array([len(ids) for ids in ids_of(parts, lib)], np.int64)
+    each = np.diff(ids_of(parts, lib)[1])
     total = np.zeros(len(index) + 1, np.int64)
     np.cumsum(each[index], out=total[1:])
     out[~unsafe] = np.diff(total[first])
@@ -163,7 +171,7 @@ def encode(texts: pa.Array, path: str, lib: Library | None = None) -> tuple[np.n
     texts = texts.cast(pa.string())
     unsafe = unsafe_rows(texts, lib)
     parts, index, first = parts_of(texts.filter(pa.array(~unsafe)), lib.keeps_space)
-    values, offsets = ragged(ids_of(parts, lib))
+    values, offsets = ids_of(parts, lib)
     values, offsets = gather(values, offsets, index)
     offsets = offsets[first]
     if not unsafe.any():
