@@ -4,14 +4,15 @@ Every distinct corpus vector is coded in ``PAIR`` dimensions at a time as the ne
 cell is taken off; beside the code lies the exact length of what the code misses. A probe's score with a coded vector is
 then known up to that length (times the probe's, where the score is a product). ``code_hits`` goes
 
-1. to each probe's nearest cell, where codes alone give a score that the k-th best hit reaches at least (the floor);
-2. to every cell whose centre and radius leave room for a better score, and there to the codes: a vector is a candidate
-   if its upper bound reaches the floor and the k-th best lower bound of its tile, and remains one if it reaches the
-   k-th best lower bound of all of the probe's candidates;
-3. to the vectors themselves, for candidates only: double precision decides, ties go to the smaller id.
-
-The codes take an eighth of the vectors (one byte for two single-precision numbers), so what is scanned and shuffled per pair of
-tiles is small; whole vectors move once per candidate. Centres and words are fitted on at most ``SAMPLE`` rows, chosen by
+1. to each probe's nearest cell, where the exact scores of its k best by code give the floor that the k-th best hit reaches;
+2. to every cell whose centre and radius leave room for a better score, and there to the codes: a vector is read only if
+   its upper bound reaches the floor and what the tile's own k best by code reach;
+3. in the same task to those vectors, a bounded number at a time: double precision decides, ties go to the smaller id, and
+   at most k entries a probe leave the tile.
+
+The codes take an eighth of the vectors (one byte for two single-precision numbers), so a scan of them is short; the vectors lie
+beside them in the tile, so that the pairs to be read, whose number grows with the product of both sides, are never
+held or moved. Centres and words are fitted on at most ``SAMPLE`` rows, chosen by
 a hash; every row is coded, and rows unlike the sample only have longer misses, so the result does not depend on the fit.
 
 Equal vectors are one entry with their ``most_k`` smallest ids (no others can be hits), so a corpus that is one third
@@ -24,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +34,7 @@ from faultline.operators import vector_search as vs
 from faultline.session import materialize
 
 PAIR, WORDS, SAMPLE = 2, 256, 8192
+PAIRS_AT_ONCE = 1 << 16  # pairs of whole vectors held in double precision
 SLACK = 1e-9  # of double-precision sums, relative to the lengths involved
 
 
@@ -161,7 +163,8 @@ def reach(p: np.ndarray, x: np.ndarray, miss: np.ndarray, metric: str) -> np.nda
 
 def code_hits(asked: DataFrame, index: CodeIndex, k: int, tile_bytes: int = vs.TILE_BYTES,
               smallest_tile: int = vs.SMALLEST_TILE) -> tuple[DataFrame, DataFrame]:
-    """(exact hits ``key, id, rank, score``; candidates ``key, rep`` whose vectors were read) for ``asked(key, pv)``."""
+    """(exact hits ``key, id, rank, score``; pairs ``key, rep`` whose vectors were read, to be measured on small tables)
+    for ``asked(key, pv)``."""
     if not 1 <= k <= index.most_k:
         raise ValueError(f"k must be between 1 and the index's {index.most_k}, not {k}")
     metric, centres, radius, words = index.metric, index.centres, index.radius, index.words
@@ -185,9 +188,10 @@ def code_hits(asked: DataFrame, index: CodeIndex, k: int, tile_bytes: int = vs.T
 
     probe_type = [T.StructField("key", key.dataType), T.StructField("pv", T.ArrayType(T.FloatType()))]
     at_home = asked.where("pv IS NOT NULL").mapInArrow(home, T.StructType([T.StructField("grp", T.IntegerType()), *probe_type]))
-    coded = index.entries.select(F.col("cell").alias("grp"), F.col("rep").alias("id"), "code", "miss")
-    # a tile is bounded by what its codes become in memory: double precision
-    sizes = dict(groups=len(centres), tile_bytes=tile_bytes, smallest_tile=smallest_tile, width=F.lit(2 * centres.shape[1]))
+    coded = index.entries.select(F.col("cell").alias("grp"), F.col("rep").alias("id"), "code", "miss", "vec",
+                                 F.slice("ids", 1, k).alias("ids"))
+    # a tile is bounded by what its codes become in memory: double precision, and the vectors beside them
+    sizes = dict(groups=len(centres), tile_bytes=tile_bytes, smallest_tile=smallest_tile, width=F.lit(3 * centres.shape[1]))
 
     def bounds(left, right):
         p = placed_vectors(topk.to_matrix(left["pv"]), metric)
@@ -198,13 +202,33 @@ def code_hits(asked: DataFrame, index: CodeIndex, k: int, tile_bytes: int = vs.T
             part = p[at:at + max(1, topk.CELLS_AT_ONCE // max(1, len(x)))]
             yield at, goodness(part, x, metric), reach(part, x, miss, metric)
 
-    def kth(lower: np.ndarray) -> np.ndarray:
-        if lower.shape[1] < k:
-            return np.full(len(lower), -np.inf)
-        return np.partition(lower, lower.shape[1] - k, axis=1)[:, lower.shape[1] - k]
+    def kth(score: np.ndarray) -> np.ndarray:
+        if score.shape[1] < k:
+            return np.full(len(score), -np.inf)
+        return np.partition(score, score.shape[1] - k, axis=1)[:, score.shape[1] - k]
+
+    def exact(p: np.ndarray, v: np.ndarray, row: np.ndarray, column: np.ndarray) -> np.ndarray:
+        """Scores of pairs in double precision, a bounded number of vectors at a time; more is better."""
+        pn, vn = (np.sqrt((m.astype(np.float64) ** 2).sum(axis=1)) for m in (p, v))
+        done = [np.zeros(0)]
+        for at in range(0, len(row), PAIRS_AT_ONCE):
+            r, c = row[at:at + PAIRS_AT_ONCE], column[at:at + PAIRS_AT_ONCE]
+            done.append(topk._exact(p[r], v[c], pn[r], vn[c], metric))
+        return np.concatenate(done) * (-1 if metric == "L2" else 1)
+
+    def likeliest(p: np.ndarray, v: np.ndarray, at: int, good: np.ndarray) -> np.ndarray:
+        """Per probe the exact score that the k best vectors of the tile reach at least: the lowest of its k best by code."""
+        if good.shape[1] < k:
+            return np.full(len(good), -np.inf)
+        column = np.argpartition(good, good.shape[1] - k, axis=1)[:, good.shape[1] - k:]
+        row = np.repeat(np.arange(len(good)) + at, k)
+        return exact(p, v, row, column.ravel()).reshape(len(good), k).min(axis=1)
 
     def floor(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = [kth(good - off) for _, good, off in bounds(left, right)] if len(left) and len(right) else []
+        found = []
+        if len(left) and len(right):
+            p, v = topk.to_matrix(left["pv"]), topk.to_matrix(right["vec"])
+            found = [np.maximum(kth(good - off), likeliest(p, v, at, good)) for at, good, off in bounds(left, right)]
         return pa.table({"key": left["key"], "floor": pa.array(np.concatenate(found) if found else np.full(len(left), -np.inf))})
 
     p, c, on = vs.tiles(at_home, coded, **sizes)
@@ -229,38 +253,39 @@ def code_hits(asked: DataFrame, index: CodeIndex, k: int, tile_bytes: int = vs.T
     visits = floors.mapInArrow(visit, T.StructType([T.StructField("grp", T.IntegerType()), *probe_type, level]))
     rep = T.StructField("rep", coded.schema["id"].dataType)
 
-    def candidates(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows, columns, lower, upper = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0)]
-        level = left["floor"].to_numpy()
-        for at, good, off in bounds(left, right) if len(left) and len(right) else []:
-            least = np.maximum(level[at:at + len(good)], kth(good - off))
+    def read(left: pa.Table, right: pa.Table):
+        """(probe rows, columns, exact scores) of the tile's pairs whose vectors are read, a bounded block at a time."""
+        if not len(left) or not len(right):
+            return
+        p, v, level = topk.to_matrix(left["pv"]), topk.to_matrix(right["vec"]), left["floor"].to_numpy()
+        for at, good, off in bounds(left, right):
+            least = np.maximum(level[at:at + len(good)], np.maximum(kth(good - off), likeliest(p, v, at, good)))
             row, column = np.nonzero(good + off >= least[:, None])
-            rows.append(row + at)
-            columns.append(column)
-            lower.append((good - off)[row, column])
-            upper.append((good + off)[row, column])
+            yield row + at, column, exact(p, v, row + at, column)
+
+    def decide(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows, columns, scores = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        place = np.argsort(np.argsort(vs._ids(right["id"]), kind="stable"), kind="stable")
+        for row, column, score in read(left, right):
+            order = np.lexsort((place[column], -score, row))
+            row, column, score = row[order], column[order], score[order]
+            best = np.arange(len(row)) - np.searchsorted(row, row) < k
+            rows.append(row[best])
+            columns.append(column[best])
+            scores.append(score[best])
+        score = np.concatenate(scores) * (-1 if metric == "L2" else 1)
         return pa.table({"key": left["key"].take(pa.array(np.concatenate(rows))),
-                         "rep": right["id"].take(pa.array(np.concatenate(columns))),
-                         "lower": pa.array(np.concatenate(lower)), "upper": pa.array(np.concatenate(upper))})
+                         "ids": right["ids"].take(pa.array(np.concatenate(columns))), "score": pa.array(score)})
+
+    def looked_at(left: pa.Table, right: pa.Table) -> pa.Table:
+        pairs = [(row, column) for row, column, _ in read(left, right)]
+        rows, columns = ([np.zeros(0, np.int64), *part] for part in zip(*pairs)) if pairs else ([np.zeros(0, np.int64)],) * 2
+        return pa.table({"key": left["key"].take(pa.array(np.concatenate(rows))),
+                         "rep": right["id"].take(pa.array(np.concatenate(columns)))})
 
     p, c, on = vs.tiles(visits, coded, **sizes)
-    kept = p.groupBy(*on).cogroup(c.groupBy(*on)).applyInArrow(candidates, T.StructType([
-        probe_type[0], rep, T.StructField("lower", T.DoubleType()), T.StructField("upper", T.DoubleType())]))
-    whole_key = Window.partitionBy("key").orderBy(F.desc("lower"), "rep").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing)
-    last = F.coalesce(F.nth_value("lower", k).over(whole_key), F.lit(float("-inf")))
-    chosen = kept.withColumn("last", last).where("upper >= last").select("key", "rep")
-    chosen = materialize(chosen.join(floors.select("key", "pv"), "key"), "candidates")
-
-    def decide(batches):
-        for batch in batches:
-            p, v = topk.to_matrix(batch["pv"]), topk.to_matrix(batch["vec"])
-            pn, vn = (np.sqrt((m.astype(np.float64) ** 2).sum(axis=1)) for m in (p, v))
-            yield pa.record_batch([batch["key"], batch["ids"], pa.array(topk._exact(p, v, pn, vn, metric))],
-                                  ["key", "ids", "score"])
-
-    whole = chosen.join(index.entries.select("rep", "ids", "vec"), "rep").select("key", "pv", "ids", "vec")
-    scored = whole.mapInArrow(decide, T.StructType([T.StructField("key", key.dataType), T.StructField(
-        "ids", T.ArrayType(rep.dataType)), T.StructField("score", T.DoubleType())]))
-    hits = scored.select("key", F.explode(F.slice("ids", 1, k)).alias("id"), "score")
-    return vs.best(hits, metric, k), chosen.select("key", "rep")
+    met = p.groupBy(*on).cogroup(c.groupBy(*on))
+    scored = met.applyInArrow(decide, T.StructType([probe_type[0], T.StructField("ids", T.ArrayType(rep.dataType)),
+                                                    T.StructField("score", T.DoubleType())]))
+    hits = scored.select("key", F.explode("ids").alias("id"), "score")
+    return vs.best(hits, metric, k), met.applyInArrow(looked_at, T.StructType([probe_type[0], rep]))

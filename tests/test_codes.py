@@ -79,3 +79,18 @@ def test_empty_corpus_and_wrong_metric(spark):
     with pytest.raises(ValueError):
         vector_search(probes, corpus, "p", "vec", strategy="codes", metric="L2",
                       built=codes.build_codes(corpus.withColumnRenamed("vec", "cv")))
+
+
+def test_pairs_to_be_read_are_not_stored(spark):
+    """Their number grows with the product of both sides: only entries, codes and floors are stored."""
+    import glob
+
+    from faultline.session import shared_dir
+    rng = np.random.default_rng(8)
+    rows = [(n, rng.normal(size=6).tolist()) for n in range(200)]
+    corpus = spark.createDataFrame(rows, "id BIGINT, cv ARRAY<FLOAT>")
+    asked = spark.createDataFrame(rows, "key BIGINT, pv ARRAY<FLOAT>")
+    place = shared_dir(spark).removeprefix("file:") + "/candidates-*"
+    before = len(glob.glob(place))
+    hits, _ = codes.code_hits(asked, codes.build_codes(corpus, 3), 2)
+    assert hits.where("rank = 1 AND key = id").count() == 200 and len(glob.glob(place)) == before
