@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from faultline.operators.joins import lookup
+from faultline.session import materialize
 
 BINS = 4096
 
@@ -62,10 +63,11 @@ def calibrate(audited: DataFrame) -> DataFrame:
 
     Candidates are the distinct scores. Most uncovered alarms caught comes first, then fewest covered
     ones flagged, then the lowest cut. Counts below a cut accumulate in two levels, over a fixed number of bins of the
-    measured range (any metric) and inside each bin, so no task sees all scores.
+    measured range (any metric) and inside each bin, so no task sees all scores. The counts are stored: what lies before
+    them runs once, not for the range's ends again.
     """
-    per_score = audited.where(F.col("score").isNotNull()).groupBy("score").agg(
-        F.count_if(~F.col("covered")).alias("u"), F.count_if("covered").alias("c"))
+    per_score = materialize(audited.where(F.col("score").isNotNull()).groupBy("score").agg(
+        F.count_if(~F.col("covered")).alias("u"), F.count_if("covered").alias("c")), "scores")
     low, high = per_score.agg(F.min("score")).scalar(), per_score.agg(F.max("score")).scalar()
     binned = per_score.withColumn("bin", F.floor(
         (F.col("score") - low) * F.lit(float(BINS)) / F.when(high > low, high - low).otherwise(F.lit(1.0))))

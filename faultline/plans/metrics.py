@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from faultline.plans.views import is_open
 from faultline.schemas import PRIORITIES
+from faultline.session import materialize
 
 BINS = 4096
 
@@ -34,7 +35,8 @@ def breached(current: DataFrame) -> DataFrame:
 def percentiles(values: DataFrame, column: str, **named: float) -> DataFrame:
     """Exact interpolated percentiles. Equal values are counted first; ranks accumulate over a fixed number of bins of
     the measured range and then inside each bin, so no task sees all values."""
-    counted = values.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
+    counted = materialize(values.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(
+        F.count("*").alias("n")), "counts")  # read three times
     low, high = counted.agg(F.min("v")).scalar(), counted.agg(F.max("v")).scalar()
     binned = counted.withColumn("bin", F.floor((F.col("v") - low) * F.lit(float(BINS)) / F.greatest(high - low, F.lit(1))))
     upto = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
