@@ -6,11 +6,14 @@
               matrix product that emits only its k best, and the tiles' hits are merged.
 ``cells``     approximate, see ``cells.py``.
 ``codes``     exact, through an index of quantised codes, see ``codes.py``.
-``auto``      resident when the measured size is within the bound, else blocked.
+``auto``      resident when the measured size is within the bound, else blocked; the size that counts is that of the
+              distinct vectors, of which a corpus over the bound is stored first.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -20,6 +23,7 @@ from pyspark.sql import types as T
 from faultline.operators import topk
 from faultline.operators.joins import lookup
 from faultline.schemas import METRICS
+from faultline.session import materialize
 
 RESIDENT_BYTES = 64 << 20
 TILE_BYTES = 64 << 20
@@ -96,6 +100,22 @@ def measure(slim: DataFrame) -> int:
     return row.n * (row.w * 4 + 16)
 
 
+def smallest_of_equal(slim: DataFrame, k: int) -> DataFrame:
+    """Of equal vectors of ``slim(id, cv)`` the k smallest ids: no other can be a hit (see ``topk.pack``). A task keeps no
+    more of them than that before the shuffle, so a vector of many copies does not land in one task."""
+    nth = F.row_number().over(Window.partitionBy("cv").orderBy("id"))
+    return slim.withColumn("__nth", nth).where(F.col("__nth") <= k).drop("__nth")
+
+
+def store_hits(hits: DataFrame, key: str, max_bytes: int = RESIDENT_BYTES) -> tuple[DataFrame, DataFrame]:
+    """``hits`` written once, and the distinct ids they name, as ``key``. The ids are marked to be shipped where their
+    measured size is within the bound."""
+    hits = materialize(hits, "hits")
+    ids = hits.where(F.col("__id").isNotNull()).select(F.col("__id").alias(key)).distinct()
+    size = ids.agg(F.coalesce(F.sum(F.octet_length(F.col(key).cast("string")) + 64), F.lit(0))).first()[0]
+    return hits, F.broadcast(ids) if size <= max_bytes else ids
+
+
 def tiles(probes: DataFrame, corpus: DataFrame, groups: int | None = None, tile_bytes: int = TILE_BYTES,
           smallest_tile: int = SMALLEST_TILE, width: Column | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
     """Both sides repeated over the tiles they meet in, and the columns that name a pair of tiles.
@@ -170,15 +190,18 @@ def vector_search(probes: DataFrame, corpus: DataFrame, probe: str, vec: str, k:
                   key: str = "alarm_id", corpus_key: str = "id", strategy: str = "auto",
                   distinct_by: str | None = None, prefix: str = "", payload: list[str] | None = None,
                   index: ResidentIndex | None = None, cells: int = 16, nprobe: int = 4,
-                  built=None, tile_bytes: int = TILE_BYTES, smallest_tile: int = SMALLEST_TILE) -> DataFrame:
+                  built=None, tile_bytes: int = TILE_BYTES, smallest_tile: int = SMALLEST_TILE,
+                  rows_of: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Columns of ``probes``, columns of ``corpus``, ``rank``, and ``score`` (DOUBLE) last.
 
     ``where`` restricts the corpus before the search. A NULL probe has no hits; with ``how='left'``
     its row stays, padded with NULLs. Every row has its own hits, also where ``key`` repeats, and the same ones under
     every exact strategy. ``distinct_by`` names a column that determines the probe vector: each distinct value is then
     searched once and its hits are looked up; else that is done by a digest of the vector. ``payload`` limits
-    the corpus columns that come back. COSINE and IP: larger is better; L2 is the plain (not squared)
-    distance, smaller is better. Ties go to the smaller ``corpus_key``.
+    the corpus columns that come back. ``rows_of`` (batch only) is for wide payloads: the probes are spread over all
+    cores, the hits are written to the shared folder, and the payload comes from the corpus rows that ``rows_of`` gives
+    for the ids that were hit, so that it can drop the others before it moves their texts. COSINE and IP: larger is
+    better; L2 is the plain (not squared) distance, smaller is better. Ties go to the smaller ``corpus_key``.
     """
     check_metric(metric)
     check_vector_column(probes, probe)
@@ -201,17 +224,33 @@ def vector_search(probes: DataFrame, corpus: DataFrame, probe: str, vec: str, k:
     size = None
     if strategy == "auto" and index is None:
         size = measure(slim.withColumnRenamed("cv", "vec"))
+        if size > RESIDENT_BYTES:  # stored: the measure and the tiles read it
+            slim = materialize(smallest_of_equal(slim, k), "vectors")
+            size = measure(slim.withColumnRenamed("cv", "vec"))
     if strategy == "auto":
         strategy = "resident" if size is None or size <= RESIDENT_BYTES else "blocked"
     if strategy == "resident" and index is None:
-        index = ResidentIndex(corpus, vec, corpus_key, metric, k, size=size)
-    right = corpus.select(F.col(corpus_key).alias("__id"), *named)
+        index = ResidentIndex(slim, "cv", "id", metric, k, size=size)
+
+    def keyed(rows: DataFrame) -> DataFrame:
+        return rows.select(F.col(corpus_key).alias("__id"), *named)
+
+    def store(hits: DataFrame) -> tuple[DataFrame, DataFrame]:
+        hits, ids = store_hits(hits, corpus_key)
+        rows = rows_of(ids)
+        return hits, keyed(rows.where(where) if where is not None else rows)
+
+    right = keyed(corpus)
     tail = [prefix + c for c in keep] + ["rank", "score"]
 
     if strategy == "resident" and distinct_by is None:
+        if rows_of:
+            probes = probes.repartition(4 * probes.sparkSession.sparkContext.defaultParallelism)
         found = probes.withColumn("__hits", index.hits(F.col(probe)))
         each = F.inline_outer("__hits") if how == "left" else F.inline("__hits")
         found = found.select(*probes.columns, each.alias("__id", "rank", "score"))
+        if rows_of:
+            found, right = store(found)
         found = lookup(found, right, "__id", how)
         return found.select(*probes.columns, *tail)
 
@@ -241,6 +280,8 @@ def vector_search(probes: DataFrame, corpus: DataFrame, probe: str, vec: str, k:
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     hits = hits.withColumnRenamed("id", "__id").withColumnRenamed("key", unit)
+    if rows_of:
+        hits, right = store(hits)
     matched = lookup(hits, right, "__id").drop("__id")
     return lookup(probes_in, matched, unit, how).select(*probes.columns, *tail)
 

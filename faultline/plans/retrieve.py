@@ -38,10 +38,11 @@ def enrich(hits: DataFrame, high: float = triage.HIGH, medium: float = triage.ME
 def hits(spark: SparkSession, sf_dir: str, k: int = 1, how: str = "inner", **options) -> DataFrame:
     """Every alarm with its k best sections.
 
-    Alarms share vectors, so the vectors are searched once each and alarms look their hits up.
+    Alarms share vectors, so the vectors are searched once each and alarms look their hits up. The hits are stored, so that
+    of the sections' texts only those hit are moved.
     """
     found = vector_search(tables.probes(spark, sf_dir), tables.manual(spark, sf_dir), "alarm_vector", "vec",
-                          k=k, key="probe_id", **options)
+                          k=k, key="probe_id", rows_of=lambda ids: tables.manual(spark, sf_dir, only=ids), **options)
     return lookup(tables.alarms(spark, sf_dir), found, "probe_id", how)
 
 

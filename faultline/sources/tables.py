@@ -76,11 +76,15 @@ def probes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("vec_id").alias("probe_id"), F.reverse("embedding").alias("alarm_vector"))
 
 
-def manual(spark: SparkSession, sf_dir: str, stretched: bool = False) -> DataFrame:
-    """One section per document. ``stretched`` scales the vectors, for metrics that see length."""
+def manual(spark: SparkSession, sf_dir: str, stretched: bool = False, only: DataFrame | None = None) -> DataFrame:
+    """One section per document. ``stretched`` scales the vectors, for metrics that see length. ``only(id)`` leaves out the
+    documents it does not name before their texts are moved."""
     emb = read(spark, sf_dir, "embeddings")
     count = emb.agg(F.count("*")).scalar()
-    docs = read(spark, sf_dir, "documents").withColumn("vec_id", F.col("doc_id") % count)
+    docs = read(spark, sf_dir, "documents")
+    if only is not None:
+        docs = docs.join(only.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
+    docs = docs.withColumn("vec_id", F.col("doc_id") % count)
     rank = F.col("doc_id") % 10
     vec = F.col("embedding")
     if stretched:

@@ -246,3 +246,55 @@ def test_visited_cells_of_a_fitted_index_follow_from_its_measured_recall(spark,
 
     assert 1 < nprobe < 8 and reached >= 0.9 > share(nprobe - 1)
     assert share(nprobe) == pytest.approx(reached)
+
+
+def test_copies_do_not_leave_the_resident_search(spark):
+    """The size that counts is that of the distinct vectors; a corpus of copies is not cut into tiles."""
+    p, c = sample(10)
+    c |= {1000 + i: v for i, v in c.items()} | {2000 + i: v for i, v in c.items()}
+    probes, corpus = frame(spark, p, "pid", "v"), frame(spark, c, "id", "vec")
+    tiled, bound = "faultline.operators.vector_search.tiled_hits", "faultline.operators.vector_search.RESIDENT_BYTES"
+    for metric in METRICS:
+        with mock.patch(bound, 40 * 300), mock.patch(tiled, side_effect=AssertionError("cut into tiles")):
+            same(collected(vector_search(probes, corpus, "v", "vec", k=2, key="pid", metric=metric), "pid"),
+                 naive(p, c, metric, 2))
+        with mock.patch(bound, 40 * 30):  # too many distinct ones: tiles of those
+            same(collected(vector_search(probes, corpus, "v", "vec", k=2, key="pid", metric=metric), "pid"),
+                 naive(p, c, metric, 2))
+
+
+@pytest.mark.parametrize("strategy", ["resident", "blocked"])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_only_rows_hit_are_asked_for(spark, strategy, how):
+    """With rows_of the corpus rows come by the ids that were hit; repeated ids and keys, NULLs and a filter stay."""
+    p, c = sample(11)
+    probes = frame(spark, p, "pid", "v").withColumn("pid", F.col("pid") - F.col("pid") % 2)
+    corpus = frame(spark, c, "id", "vec").withColumn("id", F.when(F.col("id") % 9 != 0, F.col("id") - F.col("id") % 3))
+    corpus = corpus.withColumn("even", F.size("vec") % 2 == 0).withColumn("text", F.col("vec").cast("string"))
+    asked = []
+
+    def rows_of(ids):
+        asked.append({r.id for r in ids.collect()})
+        return corpus.join(ids, "id", "left_semi")
+
+    def search(**options):
+        found = vector_search(probes, corpus, "v", "vec", k=2, key="pid", strategy=strategy, how=how,
+                              where="even", payload=["id", "text"], **options)
+        return sorted(map(str, found.collect()))
+
+    plain, by_id = search(), search(rows_of=rows_of)
+    assert by_id == plain and plain
+    assert asked == [{r.id for r in corpus.collect() if any(f"id={r.id}," in row for row in plain)} - {None}]
+
+
+def test_texts_without_a_hit_are_dropped_where_they_are_read(spark, sf):
+    from faultline.plans import retrieve
+    from faultline.sources import tables
+    given = []
+    with mock.patch.object(tables, "manual", side_effect=lambda *a, f=tables.manual, **k: given.append(k) or f(*a, **k)):
+        context = retrieve.context(spark, sf)
+    named = [k["only"] for k in given if "only" in k]
+    hit = {int(r.doc_ref[3:]) for r in context.select("doc_ref").distinct().collect()}
+    assert len(named) == 1 and {r.id for r in named[0].collect()} >= hit and hit
+    plan = context._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi, (doc_id" in plan
