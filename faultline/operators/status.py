@@ -76,3 +76,15 @@ def status_action(orders: DataFrame) -> DataFrame:
 
 def status_log(alarms: DataFrame, ctx: DataFrame, orders: DataFrame) -> DataFrame:
     return status_received(alarms).unionByName(status_retrieved(ctx)).unionByName(status_action(orders))
+
+
+def ranked(row: Column | None = None) -> Column:
+    """Comparable status row: by time, then insertion order. Without ``row`` the columns of a log."""
+    names = ("at_ts", "seq", "status")
+    return F.struct(*[(F.col(c) if row is None else row[c]).alias(c) for c in names])
+
+
+def last_of_record() -> Column:
+    """The last of the rows that ``status_log`` has for the context and the order of one alarm."""
+    failure = F.lit(None).cast("string")
+    return F.greatest(*[ranked(row) for row in (_contextualized(failure), _triaged(), _planned(failure))])

@@ -87,8 +87,9 @@ def incident_of(spark, sf, ctx: DataFrame | None = None) -> DataFrame:
 
 
 def current_of(spark, sf) -> DataFrame:
-    ctx = stage_one(spark, sf)
-    return store.incident_current(incident_of(spark, sf, ctx), log_of(spark, sf, ctx), moment(AS_OF))
+    return store.current_of_records(
+        retrieve.planned(retrieve.context(spark, sf)), tables.alarms(spark, sf), tables.actions(spark, sf), moment(AS_OF),
+        created_at=F.col("t_context"), arrived=F.col("t_action") <= moment(AS_OF))
 
 
 def score6() -> Column:

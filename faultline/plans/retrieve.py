@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from faultline.functions import text, triage
 from faultline.functions.clock import plus_millis
-from faultline.operators.joins import lookup
 from faultline.operators.models import template_reply
 from faultline.operators.vector_search import vector_search
 from faultline.schemas import CONTEXT, WORK_ORDER
@@ -43,17 +42,20 @@ def hits(spark: SparkSession, sf_dir: str, k: int = 1, how: str = "inner", **opt
     """
     found = vector_search(tables.probes(spark, sf_dir), tables.manual(spark, sf_dir), "alarm_vector", "vec",
                           k=k, key="probe_id", rows_of=lambda ids: tables.manual(spark, sf_dir, only=ids), **options)
-    return lookup(tables.alarms(spark, sf_dir), found, "probe_id", how)
+    return tables.alarms_with(spark, sf_dir, found, how)
 
 
 def context(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich(tables.context_clock(hits(spark, sf_dir)), tables.HIGH, tables.MEDIUM)
 
 
-def work_orders(ctx: DataFrame) -> DataFrame:
-    """Template planner with a deterministic clock, over every context."""
+def planned(ctx: DataFrame) -> DataFrame:
+    """Template planner with a deterministic clock, over every context: its columns and the two of the plan."""
     id_ = F.col("alarm_id").cast("long")
     reply = template_reply(F.col("match_confidence") != "low", F.col("doc_ref"), F.col("queue"), F.col("severity"))
-    planned = ctx.withColumn("ai_work_order", reply).withColumn(
+    return ctx.withColumn("ai_work_order", reply).withColumn(
         "t_action", plus_millis(F.col("t_alarm"), 1300 + id_ % 700 + id_ % 1500))
-    return planned.select(*WORK_ORDER.names)
+
+
+def work_orders(ctx: DataFrame) -> DataFrame:
+    return planned(ctx).select(*WORK_ORDER.names)

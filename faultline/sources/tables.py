@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from faultline.functions.clock import plus_millis, to_millis
 from faultline.functions.triage import shift_of
+from faultline.operators.joins import lookup
 from faultline.schemas import CATEGORIES, struct
 
 # Thresholds measured for these vectors
@@ -45,11 +46,16 @@ def _pick(index: Column, values) -> Column:
     return chain.otherwise(values[-1])
 
 
-def alarms_from(events: DataFrame, vectors: Column) -> DataFrame:
-    """Alarm columns plus ``probe_id`` (NULL for one event in fifty)."""
+def with_probe(events: DataFrame, vectors: Column) -> DataFrame:
+    """Events with the ``probe_id`` of their alarm (NULL for one event in fifty)."""
+    return events.withColumn("probe_id", F.when(F.col("event_id") % 50 != 49, F.col("event_id") % vectors))
+
+
+def alarm_columns() -> list[Column]:
+    """The columns of an alarm, from those of its event."""
     unit = F.col("user_id") % 6
     rank = F.col("event_id") % 10
-    return events.select(
+    return [
         F.col("event_id").cast("string").alias("alarm_id"),
         _pick(unit, ASSETS).alias("asset_id"),
         _pick(unit, LINES).alias("line_id"),
@@ -62,8 +68,20 @@ def alarms_from(events: DataFrame, vectors: Column) -> DataFrame:
         F.when(rank < 5, "line_critical").when(rank < 8, "standby").otherwise("redundant").alias("criticality"),
         shift_of(F.col("ts")).alias("shift"),
         to_millis(F.col("ts")).alias("alarm_time"),
-        F.when(F.col("event_id") % 50 != 49, F.col("event_id") % vectors).alias("probe_id"),
-    )
+    ]
+
+
+def alarms_from(events: DataFrame, vectors: Column) -> DataFrame:
+    """Alarm columns plus ``probe_id``."""
+    return with_probe(events, vectors).select(*alarm_columns(), "probe_id")
+
+
+def alarms_with(spark: SparkSession, sf_dir: str, found: DataFrame, how: str) -> DataFrame:
+    """``alarms`` that look up their rows of ``found(probe_id, ...)``. Events are narrower than alarms, so it is they that
+    move to the join."""
+    events = with_probe(read(spark, sf_dir, "events"), read(spark, sf_dir, "embeddings").agg(F.count("*")).scalar())
+    more = [c for c in found.columns if c != "probe_id"]
+    return lookup(events, found, "probe_id", how).select("probe_id", *alarm_columns(), *more)
 
 
 def alarms(spark: SparkSession, sf_dir: str) -> DataFrame:
