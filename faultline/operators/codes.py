@@ -33,6 +33,7 @@ from faultline.operators import topk
 from faultline.operators import vector_search as vs
 from faultline.session import materialize
 
+CELLS_AT_ONCE = 4_000_000  # entries of one matrix of bounds held in memory
 PAIR, WORDS, SAMPLE = 2, 256, 8192
 PAIRS_AT_ONCE = 1 << 16  # pairs of whole vectors held in double precision
 SLACK = 1e-9  # of double-precision sums, relative to the lengths involved
@@ -198,8 +199,8 @@ def code_hits(asked: DataFrame, index: CodeIndex, k: int, tile_bytes: int = vs.T
         codes = np.frombuffer(b"".join(right["code"].to_pylist()), np.uint8).reshape(len(right), -1)
         cell = np.full(len(right), right["grp"][0].as_py())
         x, miss = decoded(codes, cell, centres, words), right["miss"].to_numpy()
-        for at in range(0, len(p), max(1, topk.CELLS_AT_ONCE // max(1, len(x)))):
-            part = p[at:at + max(1, topk.CELLS_AT_ONCE // max(1, len(x)))]
+        for at in range(0, len(p), max(1, CELLS_AT_ONCE // max(1, len(x)))):
+            part = p[at:at + max(1, CELLS_AT_ONCE // max(1, len(x)))]
             yield at, goodness(part, x, metric), reach(part, x, miss, metric)
 
     def kth(score: np.ndarray) -> np.ndarray:

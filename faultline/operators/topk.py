@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-CELLS_AT_ONCE = 4_000_000  # entries of one score matrix held in memory
+CELLS_AT_ONCE = 16_000_000  # entries of one score matrix held in memory: 64 MB, enough probes for a fast product
 GROUP = 64  # columns of a score matrix that are first looked at through their maximum
 
 

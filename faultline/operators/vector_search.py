@@ -102,9 +102,11 @@ def measure(slim: DataFrame) -> int:
 
 def smallest_of_equal(slim: DataFrame, k: int) -> DataFrame:
     """Of equal vectors of ``slim(id, cv)`` the k smallest ids: no other can be a hit (see ``topk.pack``). A task keeps no
-    more of them than that before the shuffle, so a vector of many copies does not land in one task."""
-    nth = F.row_number().over(Window.partitionBy("cv").orderBy("id"))
-    return slim.withColumn("__nth", nth).where(F.col("__nth") <= k).drop("__nth")
+    more of them than that before the shuffle, so a vector of many copies does not land in one task. Rows are sorted by a
+    hash first: vectors are compared only where it is equal."""
+    hashed = slim.withColumn("__hash", F.xxhash64("cv"))
+    nth = F.row_number().over(Window.partitionBy("__hash", "cv").orderBy("id"))
+    return hashed.withColumn("__nth", nth).where(F.col("__nth") <= k).drop("__nth", "__hash")
 
 
 def store_hits(hits: DataFrame, key: str, max_bytes: int = RESIDENT_BYTES) -> tuple[DataFrame, DataFrame]:

@@ -3,8 +3,10 @@
 import datetime as dt
 
 import __spark_entry__ as entry
+import numpy as np
 import pytest
-from faultline.operators import status, store
+from faultline.operators import status, store, topk
+from faultline.operators.vector_search import TILE_BYTES, smallest_of_equal
 from faultline.plans import retrieve
 from faultline.schemas import ACTION, ALARM, CONTEXT
 from pyspark.sql import functions as F
@@ -68,3 +70,29 @@ def test_incidents_move_once(spark, sf, name):
     """Families and log meet in one aggregation."""
     plan = entry.queries()[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert sum(line.lstrip(" :+-").startswith("Aggregate [incident_id") for line in plan.splitlines()) == 1
+
+
+def test_distinct_vectors_are_sorted_by_hash(spark):
+    """Of equal vectors the k smallest ids, zeros of both signs being equal; whole vectors are compared last."""
+    nan = float("nan")
+    given = [(n, v) for n, v in enumerate([[1.0, 0.0], [1.0, -0.0], [1.0, 0.0], [nan, 1.0], [nan, 1.0], [nan, 1.0], [2.0],
+                                           [1.0, None], [1.0, None], [1.0, None], []])]
+    kept = smallest_of_equal(spark.createDataFrame(given, "id BIGINT, cv ARRAY<FLOAT>"), 2)
+    assert kept.columns == ["id", "cv"]
+    assert sorted(r.id for r in kept.collect()) == [0, 1, 3, 4, 6, 7, 8, 10]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "Sort [" in line]
+    assert sorts and all("Sort [__hash" in line for line in sorts)
+
+
+def test_score_matrix_holds_enough_probes(monkeypatch):
+    """A tile of the largest size is met by enough probes at once for the product to be fast."""
+    rng = np.random.default_rng(0)
+    tile = topk.pack(np.arange(2000), rng.normal(size=(2000, 8)).astype(np.float32), "COSINE", 3)
+    probes = rng.normal(size=(300, 8)).astype(np.float32)
+    want = topk.search(tile, probes, "COSINE", 3)
+    monkeypatch.setattr(topk, "CELLS_AT_ONCE", 4000)
+    for a, b in zip(topk.search(tile, probes, "COSINE", 3), want, strict=True):
+        assert (a == b).all()
+    monkeypatch.undo()
+    assert topk.CELLS_AT_ONCE // (TILE_BYTES // (4 * 64)) >= 60
