@@ -33,6 +33,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 BATCH_BYTES = 24 << 20
 KNOWN_WORDS = 400_000
 PARTS = 32_768
+PLACES = 1 << 18
 BATCH_SETTING, BATCH_SIZE = "spark.sql.execution.arrow.maxBytesPerBatch", "12m"
 
 
@@ -64,10 +65,16 @@ class Library:
             self.parts = self.by_words
 
     def by_words(self, parts: list[str]) -> list[tuple[int, ...]]:
-        """The ids of each part; words met before are not merged again."""
+        """The ids of each part; words met before are not merged again. A byte-level word alone is cut into itself, so a part
+        that is a known word is not cut."""
         words, known, out = self.before.words, self.known, []
+        whole = known if self.keeps_space else {}
         for part in parts:
-            ids: tuple[int, ...] = ()
+            ids = whole.get(part)
+            if ids is not None:
+                out.append(ids)
+                continue
+            ids = ()
             for word in words(part):
                 found = known.get(word)
                 if found is None:
@@ -99,12 +106,18 @@ def ragged(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def gather(values: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The slices ``rows`` of a ragged array, one after the other."""
+    """The slices ``rows`` of a ragged array, one after the other. Places are worked out for about
+    ``PLACES`` values at a time."""
     sizes = np.diff(offsets)[rows]
     out = np.zeros(len(rows) + 1, np.int64)
     np.cumsum(sizes, out=out[1:])
-    at = np.repeat(offsets[:-1][rows] - out[:-1], sizes) + np.arange(out[-1])
-    return values[at], out
+    taken = np.empty(out[-1], values.dtype)
+    edges = np.unique(np.append(np.searchsorted(out, np.arange(0, out[-1], PLACES)), len(rows)))
+    for at, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        places = np.repeat(offsets[rows[at:end]] - out[at:end], sizes[at:end])
+        places += np.arange(out[at], out[end])
+        np.take(values, places, out=taken[out[at]:out[end]])
+    return taken, out
 
 
 def parts_of(texts: pa.Array, keeps_space: bool) -> tuple[pa.Array, np.ndarray, np.ndarray]:

@@ -67,8 +67,11 @@ class Pretokens:
 
     def cut(self, text: str) -> list[str]:
         """Words of a text without special strings. Beyond the Latin blocks the classes of characters differ between
-        versions of Unicode; there the library's own normaliser and pattern decide."""
+        versions of Unicode; there the library's own normaliser and pattern decide. ASCII letters, with or without a space
+        in front, are one byte-level word."""
         if text.isascii() or max(text) <= "\u024f":
+            if self.keeps_space and text.isascii() and text.removeprefix(" ").isalpha():
+                return [text]
             return self.find(self.normalise(text))
         if self.lower:
             text = self.normalizer.normalize_str(text)

@@ -25,9 +25,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.llm import simple8b
-from faultline.llm.chunks import by_bytes, encode
+from faultline.llm.chunks import by_bytes, encode, small_batches
 
 BLOCK_IDS = 1 << 17
+SLICE_BYTES = 6 << 20
 BLOCKS = ("part int, block int, first_id bigint, start bigint, n_ids bigint, doc_ids array<bigint>, ends array<int>, "
           "words binary")
 
@@ -51,7 +52,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, text:
         from pyspark import TaskContext
         part, number, start, keys, pieces, held = TaskContext.get().partitionId(), 0, 0, [], [], 0
         for batch in batches:
-            for rows in by_bytes(batch, "text"):
+            for rows in by_bytes(batch, "text", SLICE_BYTES):
                 ids, offsets = encode(rows.column(1), tokenizer)
                 for n, doc_id in enumerate(rows.column(0).to_pylist()):
                     if held >= block_ids:
@@ -65,7 +66,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, text:
 
     rows = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     ordered = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
-    ordered.mapInArrow(write, BLOCKS).write.option("compression", "none").parquet(path)
+    small_batches(ordered).mapInArrow(write, BLOCKS).write.option("compression", "none").parquet(path)
 
 
 def starts_of_parts(blocks: DataFrame) -> DataFrame:

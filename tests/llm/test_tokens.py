@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 from functools import lru_cache
 
@@ -11,9 +12,9 @@ import pyarrow as pa
 import pytest
 import sentencepiece
 from faultline.llm import queries, simple8b
-from faultline.llm.chunks import encode
+from faultline.llm.chunks import BATCH_SETTING, BATCH_SIZE, encode, gather
 from faultline.llm.packing import pack_documents, place
-from faultline.llm.pretokens import to_symbols
+from faultline.llm.pretokens import pretokens, to_symbols
 from faultline.llm.token_counts import token_counts
 from faultline.llm.token_files import read_tokens, write_tokens
 from faultline.llm.transducer import Decoder, Encoder, code_texts
@@ -79,6 +80,41 @@ def test_token_files_of_odd_rows(spark, odd, none):
     assert read_tokens(spark, empty).count() == 0
 
 
+def test_token_files_are_written_from_small_batches(spark, odd):
+    set_before = spark.conf.get(BATCH_SETTING, None)
+    spark.conf.unset(BATCH_SETTING)
+    try:
+        write_tokens(odd, run_dir(spark, "t"), BYTE, end_id=2)
+        assert spark.conf.get(BATCH_SETTING, None) == BATCH_SIZE
+    finally:
+        spark.conf.unset(BATCH_SETTING) if set_before is None else spark.conf.set(BATCH_SETTING, set_before)
+
+
+def test_gather_holds_little_beside_its_result():
+    values, offsets = np.arange(400, dtype=np.uint32), np.array([0, 30, 30, 100, 400])
+    rows = np.tile(np.array([3, 0, 1, 2, 3]), 20_000)
+    tracemalloc.start()
+    try:
+        got, bounds = gather(values, offsets, rows)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    kept = got.nbytes + bounds.nbytes
+    assert peak < 1.5 * kept
+    want = [values[offsets[r]:offsets[r + 1]] for r in rows]
+    assert (got == np.concatenate(want)).all() and bounds.tolist() == np.cumsum([0, *map(len, want)]).tolist()
+    assert [x.tolist() for x in gather(values[:0], np.zeros(1, np.int64), rows[:0])] == [[], [0]]
+
+
+@settings(max_examples=300, deadline=None)
+@given(text=STRANGE)
+def test_a_byte_level_word_is_cut_into_itself(text):
+    before = pretokens(BYTE)
+    for part in [text, *text.split(" ")]:
+        for word in before.words(part):
+            assert isinstance(word, int) or before.words(word) == [word]
+
+
 def test_token_counts(spark, sf, texts, odd, none):
     for r in queries.QUERIES["op9_token_counts"](spark, sf).collect():
         n = len(whole(PIECE)(texts[r["doc_id"]]))
